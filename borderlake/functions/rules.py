@@ -13,7 +13,14 @@ from typing import Any, NamedTuple
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from borderlake.functions.text import INTEGER, digits_only, number, number_text
+from borderlake.functions.text import (
+    INTEGER,
+    digits_only,
+    is_number,
+    number,
+    number_text,
+    ordered_number,
+)
 
 # Accepted formats. \A and \z, because $ also matches before a
 # final line break. (?U) makes \s cover Unicode whitespace.
@@ -31,15 +38,16 @@ ISO_TIMESTAMP = (
 MONEY = "decimal(12,2)"
 
 
-class Failure(NamedTuple):
-    """When a cell breaks a rule (NULL counts as broken) and why."""
+class Test(NamedTuple):
+    """When a cell passes a rule (NULL counts as failed) and, made only where it
+    is wanted, what to say if it does not."""
 
     passes: Column
-    reason: Column
+    reason: Callable[[], Column]
 
 
-def quoted(before: str, text: Column, after: str = "") -> Column:
-    return F.concat(F.lit(f"{before}'"), text, F.lit(f"'{after}"))
+def quoted(before: str, text: Column, after: str = "") -> Callable[[], Column]:
+    return lambda: F.concat(F.lit(f"{before}'"), text, F.lit(f"'{after}"))
 
 
 def to_money(text: Column) -> Column:
@@ -55,63 +63,64 @@ def to_timestamp(text: Column) -> Column:
 
 
 def at_least(text: Column, minimum: Any) -> Column:
-    """``float(text) >= minimum``; unlike Spark's own order, NaN is not above."""
-    value = number(text)
-    return (value >= F.lit(float(minimum))) & ~F.isnan(value)
+    """``float(text) >= minimum``, never NULL."""
+    return F.coalesce(ordered_number(text) >= F.lit(float(minimum)), F.lit(False))
 
 
-def type_rule(text: Column, expected: str, spec: dict) -> Failure | None:
+def type_rule(text: Column, expected: str, spec: dict) -> Test | None:
     if expected in ("int", "integer"):
         passes = text.rlike(INTEGER)
     elif expected in ("float", "numeric"):
-        passes = number(text).isNotNull()
+        passes = is_number(text)
     elif expected == "decimal":
         # A number that passes its other rule but does not fit the silver type
         # (inf, too wide) would break the typed build, so it is rejected here.
         fits = to_money(text).isNotNull()
         if active(spec, "min"):
-            fits = fits | ~F.coalesce(at_least(text, spec["min"]), F.lit(False))
-        passes = number(text).isNotNull() & fits
+            fits = fits | ~at_least(text, spec["min"])
+        passes = is_number(text) & fits
     elif expected == "date":
         passes = to_date(text).isNotNull()
     elif expected == "timestamp":
         passes = to_timestamp(text).isNotNull()
     else:
         return None
-    return Failure(passes, quoted("Cannot read ", text, f" as {expected}"))
+    return Test(passes, quoted("Cannot read ", text, f" as {expected}"))
 
 
-def allowed_values_rule(text: Column, allowed: list, _spec: dict) -> Failure:
+def allowed_values_rule(text: Column, allowed: list, _spec: dict) -> Test:
     members = [v for v in allowed if isinstance(v, str)]  # text never equals a non-text value
-    return Failure(text.isin(members), quoted("", text, f" not in allowed set {allowed}"))
+    return Test(text.isin(members), quoted("", text, f" not in allowed set {allowed}"))
 
 
-def sa_id_rule(text: Column, _arg: Any, _spec: dict) -> Failure:
+def sa_id_rule(text: Column, _arg: Any, _spec: dict) -> Test:
     valid = (
         text.rlike(ID_NUMBER)
         & F.try_to_date(F.substring(text, 1, 6), "yyMMdd").isNotNull()
         & F.call_function("luhn_check", text)
     )
-    return Failure(valid, quoted("Invalid SA ID (format or checksum): ", text))
+    return Test(valid, quoted("Invalid SA ID (format or checksum): ", text))
 
 
-def email_rule(text: Column, _arg: Any, _spec: dict) -> Failure:
-    return Failure(text.rlike(EMAIL), quoted("Invalid email: ", text))
+def email_rule(text: Column, _arg: Any, _spec: dict) -> Test:
+    return Test(text.rlike(EMAIL), quoted("Invalid email: ", text))
 
 
-def phone_rule(text: Column, _arg: Any, _spec: dict) -> Failure:
-    return Failure(text.rlike(PHONE), quoted("Phone must be +27 then 9 digits: ", text))
+def phone_rule(text: Column, _arg: Any, _spec: dict) -> Test:
+    return Test(text.rlike(PHONE), quoted("Phone must be +27 then 9 digits: ", text))
 
 
-def min_rule(text: Column, minimum: Any, _spec: dict) -> Failure:
-    value = number(text)
-    reason = F.when(value.isNull(), quoted("Not a number: ", text)).otherwise(
-        F.concat(number_text(value), F.lit(f" is below minimum {minimum}"))
-    )
-    return Failure(at_least(text, minimum), reason)
+def min_rule(text: Column, minimum: Any, _spec: dict) -> Test:
+    def reason() -> Column:
+        value = number(text)
+        return F.when(value.isNull(), quoted("Not a number: ", text)()).otherwise(
+            F.concat(number_text(value), F.lit(f" is below minimum {minimum}"))
+        )
+
+    return Test(at_least(text, minimum), reason)
 
 
-RULES: dict[str, Callable[[Column, Any, dict], Failure | None]] = {
+RULES: dict[str, Callable[[Column, Any, dict], Test | None]] = {
     "type": type_rule,
     "allowed_values": allowed_values_rule,
     "sa_id": sa_id_rule,

@@ -38,19 +38,28 @@ def digits_only(col: Column) -> Column:
     return F.replace(col, F.lit("_"), F.lit(""))
 
 
-def number(text: Column) -> Column:
-    """``float(text)`` as a double, NULL where Python would raise.
+def ordered_number(text: Column) -> Column:
+    """``float(text)`` as a double; NULL where Python would raise, and for NaN,
+    which Python orders neither above nor below anything.
 
     A plain cast is laxer: it reads ``1.0d`` and ``0x1p3`` as numbers.
     """
     return (
         F.when(text.rlike(NUMBER), digits_only(text).try_cast("double"))
-        .when(text.rlike(NOT_A_NUMBER), F.lit(float("nan")))
         .when(text.rlike(POSITIVE_INFINITY), F.lit(float("inf")))
         .when(text.rlike(NEGATIVE_INFINITY), F.lit(float("-inf")))
     )
 
 
+def number(text: Column) -> Column:
+    """``float(text)`` as a double, NULL where Python would raise."""
+    return F.when(text.rlike(NOT_A_NUMBER), F.lit(float("nan"))).otherwise(ordered_number(text))
+
+
+def is_number(text: Column) -> Column:
+    return text.rlike(NUMBER) | text.rlike(NOT_A_NUMBER) | text.rlike(POSITIVE_INFINITY) | text.rlike(NEGATIVE_INFINITY)
+
+
 def number_text(value: Column) -> Column:
     """A double printed as Python prints it.
 

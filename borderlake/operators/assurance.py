@@ -113,6 +113,18 @@ def reason_leaks(quarantine: DataFrame, contracts: dict[str, dict]) -> DataFrame
     )
 
 
+def inventory_in_use(bronze: dict[str, DataFrame], inventory: DataFrame, contracts: dict[str, dict]) -> DataFrame:
+    """The personal columns with the number of raw values each holds."""
+    held = []
+    for name, table in bronze.items():
+        personal = pii_columns(contracts[name])
+        if personal:
+            counts = table.agg(*[F.count_if(cell(F.col(c)) != "").alias(c) for c in personal])
+            entries = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("values_held")) for c in personal]
+            held.append(counts.select(F.lit(name).alias("dataset"), F.inline(F.array(*entries))))
+    return inventory.join(union(held), ["dataset", "column_name"], "left")
+
+
 def reconcile_daily(daily: DataFrame, transactions: DataFrame) -> DataFrame:
     return _reconcile(
         daily.agg(F.sum("transaction_count").alias("mart_count"), F.sum("revenue_zar").alias("mart_amount")),

@@ -15,9 +15,13 @@ TOTAL = "decimal(38,2)"
 
 
 def average(total: Column, count: Column) -> Column:
-    """Mean of exact money, rounded to cents in double arithmetic."""
-    mean = (total * 100).cast("double") / (count * F.lit(100.0))
-    return F.round(mean * 100) / 100
+    """Mean of exact money as a double, rounded to cents.
+
+    The sum is exact, so the mean does not depend on the order of the rows; it
+    is divided and rounded in double arithmetic, as ``ROUND(AVG(x), 2)`` is in
+    an engine whose average of decimals is a double.
+    """
+    return F.round(total.cast("double") / count * 100) / 100
 
 
 def crossed() -> Column:

@@ -90,7 +90,7 @@ def judge(
         marked["transactions"], standing, "customer_id", "left", count_keys(owners, "customer_id")
     )
     return {
-        "customers": keep("customers_judged", marked["customers"]),
+        "customers": marked["customers"],
         "transactions": keep("transactions_judged", transactions),
     }
 
@@ -111,14 +111,20 @@ def orphan_check(contract: dict) -> Check:
 
 def parent_check() -> Check:
     """The customer was rejected; silver must stay referentially whole."""
-    reason = F.concat(F.lit("customer "), F.col("customer_id"), F.lit(" is quarantined"))
+
+    def reason() -> Column:
+        return F.concat(F.lit("customer "), F.col("customer_id"), F.lit(" is quarantined"))
+
     return Check("customer_id", "parent_quarantined", F.coalesce(~F.col(PARENT_ACCEPTED), F.lit(False)), reason)
 
 
 def residency_check(policy: dict) -> Check:
     """Processed in a region the policy neither allows nor flags."""
     verdict = blocked_verdict(policy)
-    reason = F.concat(F.lit("processing_region "), _region(), F.lit(" -> "), verdict)
+
+    def reason() -> Column:
+        return F.concat(F.lit("processing_region "), _region(), F.lit(" -> "), verdict)
+
     return Check("processing_region", "residency_blocked", verdict.isNotNull(), reason)
 
 

@@ -105,14 +105,18 @@ def subject_transfers(
     ).orderBy(F.desc("region_count"), F.desc("transfer_count"), "customer_id", "page")
 
 
-def transfer_totals(report: DataFrame) -> DataFrame:
+def _totals(report: DataFrame) -> DataFrame:
     return report.agg(
         F.sum("transfer_count").alias("transfers"),
-        F.sum("amount_zar").cast("double").alias("amount_zar"),
+        F.sum("amount_zar").cast(TOTAL).alias("amount_zar"),
         F.count_distinct("transfer_month").alias("months"),
     )
 
 
+def transfer_totals(report: DataFrame) -> DataFrame:
+    return _totals(report).withColumn("amount_zar", F.col("amount_zar").cast("double"))
+
+
 def blocked_count(quarantine: DataFrame) -> DataFrame:
     return quarantine.filter(F.col("rule") == "residency_blocked").agg(F.count("*").alias("blocked"))
 
@@ -145,7 +149,7 @@ def view_payload(
         body = F.to_json(F.struct(*frame.columns), nulls)
         return frame.select(F.lit(name).alias("part"), F.replace(body, F.lit("</"), F.lit("<\\/")).alias("body"))
 
-    totals = transfer_totals(report).select(
+    totals = _totals(report).select(
         "*",
         crossing_counts(transactions).agg(F.count("*")).scalar().alias("subjects"),
         blocked_count(quarantine).scalar().alias("blocked"),

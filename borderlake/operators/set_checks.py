@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,16 +54,21 @@ def orphans(children: DataFrame, column: str, parents: DataFrame, parent_column:
 def unique_check(contract: dict, versions: Column) -> Check:
     """The primary key has ``versions`` different rows."""
     key = contract["primary_key"]
-    reason = F.concat(F.lit(f"{key} appears "), versions.cast("string"), F.lit(" times"))
+
+    def reason() -> Column:
+        return F.concat(F.lit(f"{key} appears "), versions.cast("string"), F.lit(" times"))
+
     return _check(contract, key, UNIQUE, versions > 1, reason)
 
 
 def reference_check(contract: dict, column: str, parent: str, dangling: Column) -> Check:
-    reason = F.concat(F.lit(f"{column} '"), F.col(column), F.lit(f"' not found in {parent}"))
+    def reason() -> Column:
+        return F.concat(F.lit(f"{column} '"), F.col(column), F.lit(f"' not found in {parent}"))
+
     return _check(contract, column, REFERENTIAL, dangling, reason)
 
 
-def _check(contract: dict, column: str, rule: str, broken: Column, reason: Column) -> Check:
+def _check(contract: dict, column: str, rule: str, broken: Column, reason: Callable[[], Column]) -> Check:
     return Check(column, rule, broken, redaction(rule) if column in pii_columns(contract) else reason)
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 import logging
 import sys
 from datetime import datetime, timezone
+from functools import partial
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,18 +47,20 @@ def transform(lake: Lake, contracts: dict[str, dict], policy: dict, key: str | N
 
     bronze = {name: lake.table("bronze", name) for name in contracts}
     judged = judge(bronze, contracts, keep)
-    rejected, _ = lake.replace(
-        quarantine(judged, contracts, policy), "silver", "quarantine", partition_by=("dataset",)
-    )
-    inventory, _ = lake.replace(pii_inventory(lake.spark, contracts).coalesce(1), "silver", "pii_inventory")
-    customers, kept = lake.replace(
-        silver_customers(judged["customers"], contracts["customers"], key), "silver", "customers"
-    )
-    transactions, moved = lake.replace(
-        silver_transactions(judged["transactions"], contracts["transactions"], policy),
-        "silver",
-        "transactions",
-        crossings=F.count_if(crossed()),
+    (rejected, _), (inventory, _), (customers, kept), (transactions, moved) = lake.replace_all(
+        lambda: lake.replace(
+            quarantine(judged, contracts, policy), "silver", "quarantine", partition_by=("dataset",)
+        ),
+        lambda: lake.replace(pii_inventory(lake.spark, contracts).coalesce(1), "silver", "pii_inventory"),
+        lambda: lake.replace(
+            silver_customers(judged["customers"], contracts["customers"], key), "silver", "customers"
+        ),
+        lambda: lake.replace(
+            silver_transactions(judged["transactions"], contracts["transactions"], policy),
+            "silver",
+            "transactions",
+            crossings=F.count_if(crossed()),
+        ),
     )
     details = {
         **audit_details(rejected).first().asDict(),
@@ -67,8 +70,8 @@ def transform(lake: Lake, contracts: dict[str, dict], policy: dict, key: str | N
     }
     record(lake, "build_silver", details)
     silver = {"customers": customers, "transactions": transactions, "pii_inventory": inventory}
-    for name, mart in build_gold(silver).items():
-        lake.replace(mart, "gold", name)
+    marts = build_gold(silver)
+    lake.replace_all(*[partial(lake.replace, mart, "gold", name) for name, mart in marts.items()])
     return details
 
 

@@ -7,7 +7,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 CORRUPT = "_corrupt_record"
-DIALECT = {"header": True, "quote": '"', "escape": '"', "encoding": "UTF-8"}
+DIALECT = {
+    "header": True,
+    "quote": '"',
+    "escape": '"',
+    "encoding": "UTF-8",
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
 
 
 def files_by_layout(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:

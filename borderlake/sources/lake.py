@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 LAYERS = ("bronze", "staging", "silver", "gold", "ops")
 
@@ -60,7 +64,7 @@ class Lake:
         ]
 
     def replace(
-        self, frame: DataFrame, layer: str, table: str, partition_by: tuple[str, ...] = (), **counts
+        self, frame: DataFrame, layer: str, table: str, partition_by: tuple[str, ...] = (), **counts: Column
     ) -> tuple[DataFrame, dict[str, int]]:
         """Store a frame as the table's new contents.
 
@@ -71,14 +75,20 @@ class Lake:
         path = f"{self.root}/{layer}/{table}/{run_id()}"
         observed = frame.observe(seen, F.count("*").alias("rows"), *[c.alias(n) for n, c in counts.items()])
         observed.write.partitionBy(*partition_by).parquet(path)
-        self._point(layer, table, path)
+        self._point(layer, table, path, None if partition_by else frame.schema)
         self._forget_old_versions(layer, table)
         return self.table(layer, table), seen.get
 
+    def replace_all(self, *jobs: Callable[[], object]) -> list:
+        """Run independent builds side by side, so that the last tasks of one do
+        not leave the cluster idle."""
+        with ThreadPoolExecutor(len(jobs)) as pool:
+            return [done.result() for done in [pool.submit(inheritable_thread_target(self.spark)(job)) for job in jobs]]
+
     def append(self, frame: DataFrame, layer: str, table: str) -> None:
         path = f"{self.root}/{layer}/{table}"
         frame.write.mode("append").parquet(path)
-        self._point(layer, table, path)
+        self._point(layer, table, path, frame.schema)
 
     def attach(self) -> None:
         """Register the latest complete version of every table, for a new session."""
@@ -88,13 +98,17 @@ class Lake:
                 if versions or self._exists(f"{folder}/_SUCCESS"):
                     self._point(layer, folder.rsplit("/", 1)[1], versions[-1] if versions else folder)
 
-    def _point(self, layer: str, table: str, path: str) -> None:
+    def _point(self, layer: str, table: str, path: str, schema: StructType | None = None) -> None:
+        """Make the catalog show a folder as the table. Without a schema Spark
+        reads it, and any partitions, from the folder."""
         name = self.name(layer, table)
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        self.spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
-        if self.spark.sql(f"DESCRIBE TABLE {name}").filter("col_name = '# Partition Information'").count():
-            self.spark.catalog.recoverPartitions(name)
-        self.spark.catalog.refreshTable(name)
+        if schema is None:
+            self.spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
+            if any("=" in f.rsplit("/", 1)[1] for f in self._folders(path)):
+                self.spark.catalog.recoverPartitions(name)
+        else:
+            self.spark.catalog.createTable(name, path, "parquet", schema)
 
     def _forget_old_versions(self, layer: str, table: str, keep: int = 2) -> None:
         for old in self._folders(f"{self.root}/{layer}/{table}")[:-keep]:
