@@ -23,14 +23,9 @@ POSITIVE_INFINITY = r"(?i)\A\+?inf(inity)?\z"
 NEGATIVE_INFINITY = r"(?i)\A-inf(inity)?\z"
 
 
-def strip(col: Column) -> Column:
-    """Remove surrounding whitespace, Unicode whitespace included."""
-    return F.btrim(col, F.lit(WHITESPACE))
-
-
-def cell(col: Column) -> Column:
-    """Stripped text of a raw cell; a missing cell reads as empty."""
-    return F.coalesce(strip(col), F.lit(""))
+def cell(name: str) -> Column:
+    """Text of a raw cell without surrounding whitespace; a missing cell reads as empty."""
+    return F.coalesce(F.btrim(F.col(f"`{name}`"), F.lit(WHITESPACE)), F.lit(""))
 
 
 def digits_only(col: Column) -> Column:
@@ -68,7 +63,7 @@ def number_text(value: Column) -> Column:
     """
     java = value.cast("string")
     size = F.abs(value)
-    fixed = F.rtrim(java.try_cast("decimal(38,21)").cast("string"), F.lit("0"))
+    fixed = F.regexp_replace(java.try_cast("decimal(38,21)").cast("string"), "0+$", "")
     fixed = F.when(fixed.endswith("."), F.concat(fixed, F.lit("0"))).otherwise(fixed)
     mantissa = F.regexp_replace(F.substring_index(java, "E", 1), r"\.0$", "")
     exponent = F.substring_index(java, "E", -1).try_cast("int")

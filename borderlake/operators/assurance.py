@@ -24,7 +24,7 @@ def record_balance(
     rejected = quarantine.filter(F.col("dataset") == dataset)
     keys = union(
         [
-            seen(bronze.select(cell(F.col(key)).alias("key")), "raw"),
+            seen(bronze.select(cell(key).alias("key")), "raw"),
             seen(silver.select(F.col(key).alias("key")), "kept"),
             seen(rejected.select(F.col("record_key").alias("key")), "rejected"),
         ]
@@ -82,7 +82,7 @@ def pii_leaks(silver: DataFrame, bronze: DataFrame, contract: dict) -> DataFrame
     masks = {s["name"]: s.get("mask", "none") for s in contract["columns"]}
     personal = pii_columns(contract)
     present = [c for c in personal if c in silver.columns]
-    raw = bronze.select(cell(F.col(key)).alias(key), *[cell(F.col(c)).alias(f"_raw_{c}") for c in present])
+    raw = bronze.select(cell(key).alias(key), *[cell(c).alias(f"_raw_{c}") for c in present])
     counts = (
         silver.select(key, *present)
         .join(raw.distinct(), key)
@@ -119,7 +119,7 @@ def inventory_in_use(bronze: dict[str, DataFrame], inventory: DataFrame, contrac
     for name, table in bronze.items():
         personal = pii_columns(contracts[name])
         if personal:
-            counts = table.agg(*[F.count_if(cell(F.col(c)) != "").alias(c) for c in personal])
+            counts = table.agg(*[F.count_if(cell(c) != "").alias(c) for c in personal])
             entries = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("values_held")) for c in personal]
             held.append(counts.select(F.lit(name).alias("dataset"), F.inline(F.array(*entries))))
     return inventory.join(union(held), ["dataset", "column_name"], "left")

@@ -14,8 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from borderlake.functions.residency import PERMITTED, classify_transfer
-from borderlake.functions.text import cell
-from borderlake.operators.contracts import Check, checks, emit, normalise_keys, row_fits
+from borderlake.operators.contracts import Check, checks, clean_cells, emit, normalise_keys, row_fits
 from borderlake.operators.set_checks import (
     collapse_copies,
     conflicting_keys,
@@ -40,7 +39,9 @@ def no_keep(_name: str, frame: DataFrame) -> DataFrame:
 
 
 def distinct_rows(table: DataFrame, contract: dict) -> DataFrame:
+    """Distinct raw rows, then their cells stripped and held against the contract."""
     rows = collapse_copies(normalise_keys(table, contract))
+    rows = rows.select(*clean_cells(rows, contract))
     return rows.withColumn(FITS, row_fits(contract, rows.columns))
 
 
@@ -59,7 +60,7 @@ def customer_standing(customers: DataFrame) -> DataFrame:
     An id with conflicting rows may have several homes. Lowest and highest are
     enough to tell whether any of them differs from a processing region.
     """
-    home = cell(F.col("home_region"))
+    home = F.col("home_region")
     return customers.groupBy("customer_id").agg(
         F.bool_and(accepted()).alias(PARENT_ACCEPTED),
         F.min(home).alias(HOME),
@@ -96,7 +97,7 @@ def judge(
 
 
 def _region() -> Column:
-    return cell(F.col("processing_region"))
+    return F.col("processing_region")
 
 
 def blocked_verdict(policy: dict) -> Column:

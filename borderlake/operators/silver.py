@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from borderlake.functions.mask import mask
 from borderlake.functions.residency import PERMITTED, classify_transfer
 from borderlake.functions.rules import active, to_date, to_money, to_timestamp
-from borderlake.functions.text import cell, digits_only, number
+from borderlake.functions.text import digits_only, number
 from borderlake.operators.contracts import LINEAGE
 from borderlake.operators.judge import HOME, PARENT_ACCEPTED, accepted
 
@@ -20,7 +20,7 @@ def silver_column(spec: dict, key: str | None = None) -> Column | None:
     filtered out; ``assurance.typed_columns`` shows that no fit value is lost.
     """
     name = spec["name"]
-    text = cell(F.col(name))
+    text = F.col(name)
     if spec.get("pii", False):
         strategy = spec.get("mask", "none")
         if strategy == "drop":
@@ -61,7 +61,7 @@ def silver_transactions(judged: DataFrame, contract: dict, policy: dict) -> Data
     The judged row says all of it, so nothing is joined here. An accepted
     customer has exactly one row, hence one home.
     """
-    verdict = classify_transfer(F.col(HOME), cell(F.col("processing_region")), policy)
+    verdict = classify_transfer(F.col(HOME), F.col("processing_region"), policy)
     typed = judged.filter(accepted() & F.col(PARENT_ACCEPTED) & verdict.isin(*PERMITTED)).select(
         *projection(contract),
         F.col(HOME).alias("home_region"),

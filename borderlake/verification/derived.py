@@ -24,6 +24,12 @@ def source(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def spread(table: DataFrame) -> DataFrame:
+    """Use all cores on a table too small to be split; a large one is left alone."""
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+
+
 def _with_copies(rows: DataFrame) -> DataFrame:
     """Deliver every 103rd row twice."""
     times = F.when(F.col("k") % 103 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
@@ -64,7 +70,11 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     k, nation, payload, check = F.col("k"), F.col("nation"), F.col("payload"), F.col("check")
     month = F.when(k % CUSTOMERS == 7, F.lit("13")).otherwise(padded(k % 12 + 1, 2))
     rows = (
-        _with_copies(source(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), F.col("c_nationkey").alias("nation")))
+        _with_copies(
+            spread(
+                source(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), F.col("c_nationkey").alias("nation"))
+            )
+        )
         .withColumn(
             "payload",
             F.concat(padded((k * 7) % 100, 2), month, padded(k % 28 + 1, 2), padded((k * 37) % 10_000, 4), F.lit("08")),
@@ -97,11 +107,13 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     owner_id = F.when(k % 89 == 0, F.concat(F.lit(" "), owner_id, F.lit("\t "))).otherwise(owner_id)
     region = F.when(k % 25 == 0, F.lit("eu-west-1")).when(k % 25 == 1, F.lit("us-east-1")).otherwise(F.lit("af-south-1"))
     moment = F.col("placed") + F.make_dt_interval(secs=k % 86_400)
-    rows = source(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("k"),
-        F.col("o_custkey").alias("owner"),
-        F.col("o_totalprice").alias("price"),
-        F.col("o_orderdate").alias("placed"),
+    rows = spread(
+        source(spark, sf_dir, "orders").select(
+            F.col("o_orderkey").alias("k"),
+            F.col("o_custkey").alias("owner"),
+            F.col("o_totalprice").alias("price"),
+            F.col("o_orderdate").alias("placed"),
+        )
     )
     return _with_copies(rows).select(
         transaction_key().alias("transaction_id"),

@@ -62,13 +62,20 @@ class Staged:
 
     @property
     def lake(self) -> Lake:
+        return self._lake()["lake"]
+
+    def _lake(self) -> dict:
         def build() -> dict:
-            lake, csv = self.new_lake(), self.csv_delivery()
+            lake, csv = self.new_lake(), self.new_delivery()
             ingest(lake, csv)
             transform(lake, self.contracts, self.policy, self.key)
-            return {"folder": lake.root, "lake": lake}
+            return {"folder": lake.root, "lake": lake, "csv": csv}
+
+        return self._once("lake", build)
 
-        return self._once("lake", build)["lake"]
+    def csv_delivery(self, fresh: bool = True) -> dict[str, str]:
+        """The deliveries as CSV: written now, or those the lake was built from."""
+        return self.new_delivery() if fresh else self._lake()["csv"]
 
     # --- derived from them, not stored --------------------------------------------
 
@@ -94,7 +101,7 @@ class Staged:
         root = shared_folder(self.spark, "lake")
         return Lake(self.spark, root, prefix=f"check{root.rsplit('-', 1)[1].lower()}_")
 
-    def csv_delivery(self) -> dict[str, str]:
+    def new_delivery(self) -> dict[str, str]:
         folder = shared_folder(self.spark, "delivery")
         for name, table in self.bronze.items():
             write_csv(table, table.columns, f"{folder}/{name}.csv")
