@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -32,7 +34,8 @@ def files_by_layout(spark: SparkSession, path: str) -> tuple[list[str], list[str
         .orderBy("file")
         .collect()
     )
-    return [r.file for r in found if not r.broken], [r.file for r in found if r.broken]
+    names = [(unquote(r.file), r.broken) for r in found]  # Spark gives the path as a URI
+    return [n for n, broken in names if not broken], [n for n, broken in names if broken]
 
 
 def read_csv(spark: SparkSession, path: str, loaded_at: str) -> DataFrame:
@@ -46,7 +49,9 @@ def read_csv(spark: SparkSession, path: str, loaded_at: str) -> DataFrame:
     schema = StructType([StructField(n, StringType()) for n in [*names, CORRUPT]])
     plain, broken = files_by_layout(spark, path)
     parts = [
-        spark.read.options(**DIALECT, multiLine=multi, enforceSchema=False, columnNameOfCorruptRecord=CORRUPT)
+        spark.read.options(
+            **DIALECT, multiLine=multi, enforceSchema=False, columnPruning=False, columnNameOfCorruptRecord=CORRUPT
+        )
         .schema(schema)
         .csv(files)
         .withColumn("_source_file", F.col("_metadata.file_name"))
@@ -59,8 +64,10 @@ def read_csv(spark: SparkSession, path: str, loaded_at: str) -> DataFrame:
     unquoted = F.regexp_replace(F.col(CORRUPT), r'"([^"]|"")*"', "")
     fields = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","), F.lit(""))) + 1
     message = F.concat(F.lit(f"record with more than {len(names)} fields in "), F.col("_source_file"))
-    too_long = F.when(fields > len(names), F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
-    return rows.filter(too_long).select(
+    # Always true, and names a data column: Spark refuses to read the corrupt record alone.
+    fits = F.length(F.coalesce(F.col(f"`{names[0]}`"), F.lit(""))) >= 0
+    checked = F.when(fields > len(names), F.raise_error(message).cast("boolean")).otherwise(fits)
+    return rows.filter(checked).select(
         *[F.coalesce(F.col(f"`{n}`"), F.lit("")).alias(n) for n in names],
         F.lit(loaded_at).alias("_ingested_at"),
         "_source_file",
