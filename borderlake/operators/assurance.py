@@ -9,6 +9,7 @@ from borderlake.functions.text import cell
 from borderlake.operators.contracts import pii_columns
 from borderlake.operators.gold import crossed
 from borderlake.operators.set_checks import union
+from borderlake.operators.skew import sliced_join
 
 
 def record_balance(
@@ -84,8 +85,7 @@ def pii_leaks(silver: DataFrame, bronze: DataFrame, contract: dict) -> DataFrame
     present = [c for c in personal if c in silver.columns]
     raw = bronze.select(cell(key).alias(key), *[cell(c).alias(f"_raw_{c}") for c in present])
     counts = (
-        silver.select(key, *present)
-        .join(raw.distinct(), key)
+        sliced_join(raw.distinct(), silver.select(key, *present), key, "inner")
         .agg(*[F.count_if(F.col(c) == F.col(f"_raw_{c}")).alias(f"_{c}") for c in present])
     )
 

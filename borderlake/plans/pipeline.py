@@ -27,6 +27,32 @@ from borderlake.sources.lake import Lake
 log = logging.getLogger(__name__)
 
 
+# One shuffle partition per this many input bytes, up to a number of partitions
+# whose bookkeeping the driver still handles.
+SHUFFLE_BYTES = 256 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 50_000
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def size_shuffles(spark: SparkSession, paths: list[str]) -> int | None:
+    """Let shuffles start with partitions to suit the input, unless the session says how many.
+
+    The default of 200 would leave each with terabytes on a large delivery.
+    Adaptive execution merges those that turn out small.
+    """
+    if spark.conf.get(INITIAL_PARTITIONS, None):
+        return None
+    conf, size = spark._jsc.hadoopConfiguration(), 0
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        size += place.getFileSystem(conf).getContentSummary(place).getLength()
+    wanted = min(size // SHUFFLE_BYTES + 1, MAX_SHUFFLE_PARTITIONS)
+    if wanted <= int(spark.conf.get("spark.sql.shuffle.partitions")):
+        return None
+    spark.conf.set(INITIAL_PARTITIONS, str(wanted))
+    return wanted
+
+
 def ingest(lake: Lake, deliveries: dict[str, str]) -> dict[str, int]:
     """Load each delivery into its bronze table; gives the row counts."""
     loaded_at = datetime.now(timezone.utc).isoformat()
@@ -84,6 +110,8 @@ def run(
     """Build everything from the deliveries. Running it again gives the same tables."""
     contracts = load_contracts(governance)
     policy = load_policy(Path(governance) / "residency.yml")
+    secret_key(key)
+    size_shuffles(lake.spark, list(deliveries.values()))
     log.info("ingested %s", ingest(lake, deliveries))
     return transform(lake, contracts, policy, key)
 

@@ -23,6 +23,9 @@ TABLES = (
 ).split()
 
 
+SAME_TYPE = {"varchar": "string", "bigint": "bigint", "double": "double", "boolean": "boolean"}
+
+
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for table in TABLES:
@@ -52,6 +55,10 @@ def difference(spark_frame, con, sql: str) -> str | None:
     expected = contents(columns, result.fetchall())
     if sorted(columns) != sorted(spark_frame.columns):
         return f"columns {sorted(spark_frame.columns)} against {sorted(columns)}"
+    types = dict(spark_frame.dtypes)
+    for name, kind in ((d[0], str(d[1]).lower()) for d in result.description):
+        if SAME_TYPE.get(kind) != types[name]:
+            return f"{name} is {types[name]} against {kind}"
     found = contents(spark_frame.columns, spark_frame.collect())
     if found == expected:
         return None

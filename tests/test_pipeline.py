@@ -9,6 +9,7 @@ from borderlake.operators.contracts import GOVERNANCE, load_contracts
 from borderlake.operators.judge import judge, quarantine
 from borderlake.operators.reports import preview, subject_transfers, transfer_rows
 from borderlake.operators.silver import silver_customers, silver_transactions
+from borderlake.plans import pipeline
 from borderlake.plans.pipeline import run
 from borderlake.sources import synthetic as syn
 from borderlake.sources.delivery import write_csv
@@ -136,6 +137,22 @@ def test_the_build_needs_a_key(lake, monkeypatch):
         run(lake, {})
 
 
+def test_shuffles_grow_with_the_input(spark, lake, monkeypatch):
+    paths = list(lake.deliveries.values())
+    assert pipeline.size_shuffles(spark, paths) is None
+    monkeypatch.setattr(pipeline, "SHUFFLE_BYTES", 1000)
+    try:
+        assert pipeline.size_shuffles(spark, paths) > 50
+        assert pipeline.size_shuffles(spark, paths) is None
+    finally:
+        spark.conf.unset(pipeline.INITIAL_PARTITIONS)
+    monkeypatch.setattr(pipeline, "MAX_SHUFFLE_PARTITIONS", 7)
+    try:
+        assert pipeline.size_shuffles(spark, paths) == 7
+    finally:
+        spark.conf.unset(pipeline.INITIAL_PARTITIONS)
+
+
 def build(spark, tables):
     contracts, policy = load_contracts(), load_policy(GOVERNANCE / "residency.yml")
     judged = judge(tables, contracts)
