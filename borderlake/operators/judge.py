@@ -31,11 +31,11 @@ FITS, VERSIONS = "_fits", "_versions"
 PARENT_ACCEPTED, HOME, OTHER_HOME = "_parent_accepted", "_home", "_other_home"
 JUDGEMENT = (FITS, VERSIONS, PARENT_ACCEPTED, HOME, OTHER_HOME)
 
-Keep = Callable[[str, DataFrame], DataFrame]
+Keep = Callable[[dict[str, DataFrame]], dict[str, DataFrame]]
 
 
-def no_keep(_name: str, frame: DataFrame) -> DataFrame:
-    return frame
+def no_keep(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    return frames
 
 
 def distinct_rows(table: DataFrame, contract: dict) -> DataFrame:
@@ -73,27 +73,25 @@ def judge(
 ) -> dict[str, DataFrame]:
     """Judged customers and transactions.
 
-    ``keep`` may store each step and hand back the stored table. A stored step
-    has known sizes, so that Spark broadcasts a short list of conflicts or
-    customers from the start instead of shuffling the large side first.
+    ``keep`` may store the frames of a step, side by side, and hand back the
+    stored tables. Stored tables have known sizes, so that Spark broadcasts a
+    short list of conflicts or customers from the start instead of shuffling the
+    large side first.
     """
-    marked = {}
-    for name in ("customers", "transactions"):
-        key = contracts[name]["primary_key"]
-        rows = keep(f"{name}_rows", distinct_rows(bronze[name], contracts[name]))
-        conflicts = keep(f"{name}_conflicts", conflicting_keys(rows, key))
-        marked[name] = mark_conflicts(rows, conflicts, key)
-    standing = keep("customer_standing", customer_standing(marked["customers"]))
+    names = ("customers", "transactions")
+    keys = {name: contracts[name]["primary_key"] for name in names}
+    rows = keep({f"{name}_rows": distinct_rows(bronze[name], contracts[name]) for name in names})
+    conflicts = keep({f"{name}_conflicts": conflicting_keys(rows[f"{name}_rows"], keys[name]) for name in names})
+    marked = {name: mark_conflicts(rows[f"{name}_rows"], conflicts[f"{name}_conflicts"], keys[name]) for name in names}
+    standing = keep({"customer_standing": customer_standing(marked["customers"])})["customer_standing"]
     # One customer may own a large part of all transactions, hence the slices.
     # Counting them on the raw rows overestimates at most and needs one column.
     owners = normalise_keys(bronze["transactions"].select("customer_id"), contracts["transactions"])
     transactions = sliced_join(
         marked["transactions"], standing, "customer_id", "left", count_keys(owners, "customer_id")
     )
-    return {
-        "customers": marked["customers"],
-        "transactions": keep("transactions_judged", transactions),
-    }
+    stored = keep({"transactions_judged": transactions})
+    return {"customers": marked["customers"], "transactions": stored["transactions_judged"]}
 
 
 def _region() -> Column:

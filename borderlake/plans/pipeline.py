@@ -22,7 +22,7 @@ from borderlake.operators.judge import judge, quarantine
 from borderlake.operators.silver import silver_customers, silver_transactions
 from borderlake.plans.audit import audit_details, record
 from borderlake.sources.delivery import read_csv
-from borderlake.sources.lake import Lake
+from borderlake.sources.lake import Lake, side_by_side
 
 log = logging.getLogger(__name__)
 
@@ -56,11 +56,12 @@ def size_shuffles(spark: SparkSession, paths: list[str]) -> int | None:
 def ingest(lake: Lake, deliveries: dict[str, str]) -> dict[str, int]:
     """Load each delivery into its bronze table; gives the row counts."""
     loaded_at = datetime.now(timezone.utc).isoformat()
-    counts = {}
-    for name, path in deliveries.items():
-        _, seen = lake.replace(read_csv(lake.spark, path, loaded_at), "bronze", name)
-        counts[name] = seen["rows"]
-    return counts
+
+    def load(name: str) -> int:
+        rows = read_csv(lake.spark, deliveries[name], loaded_at)
+        return lake.replace(rows, "bronze", name)[1]["rows"]
+
+    return dict(zip(deliveries, side_by_side(lake.spark, [partial(load, name) for name in deliveries]), strict=True))
 
 
 def transform(lake: Lake, contracts: dict[str, dict], policy: dict, key: str | None = None) -> dict[str, int]:
@@ -68,25 +69,29 @@ def transform(lake: Lake, contracts: dict[str, dict], policy: dict, key: str | N
     a few tasks and never an earlier step."""
     key = secret_key(key)  # fail before any work is done
 
-    def keep(name: str, frame: DataFrame) -> DataFrame:
-        return lake.replace(frame, "staging", name)[0]
+    def keep(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        jobs = [partial(lake.replace, frame, "staging", name) for name, frame in frames.items()]
+        return dict(zip(frames, (table for table, _ in side_by_side(lake.spark, jobs)), strict=True))
 
     bronze = {name: lake.table("bronze", name) for name in contracts}
     judged = judge(bronze, contracts, keep)
-    (rejected, _), (inventory, _), (customers, kept), (transactions, moved) = lake.replace_all(
-        lambda: lake.replace(
-            quarantine(judged, contracts, policy), "silver", "quarantine", partition_by=("dataset",)
-        ),
-        lambda: lake.replace(pii_inventory(lake.spark, contracts).coalesce(1), "silver", "pii_inventory"),
-        lambda: lake.replace(
-            silver_customers(judged["customers"], contracts["customers"], key), "silver", "customers"
-        ),
-        lambda: lake.replace(
-            silver_transactions(judged["transactions"], contracts["transactions"], policy),
-            "silver",
-            "transactions",
-            crossings=F.count_if(crossed()),
-        ),
+    (rejected, _), (inventory, _), (customers, kept), (transactions, moved) = side_by_side(
+        lake.spark,
+        [
+            lambda: lake.replace(
+                quarantine(judged, contracts, policy), "silver", "quarantine", partition_by=("dataset",)
+            ),
+            lambda: lake.replace(pii_inventory(lake.spark, contracts).coalesce(1), "silver", "pii_inventory"),
+            lambda: lake.replace(
+                silver_customers(judged["customers"], contracts["customers"], key), "silver", "customers"
+            ),
+            lambda: lake.replace(
+                silver_transactions(judged["transactions"], contracts["transactions"], policy),
+                "silver",
+                "transactions",
+                crossings=F.count_if(crossed()),
+            ),
+        ],
     )
     details = {
         **audit_details(rejected).first().asDict(),
@@ -97,7 +102,7 @@ def transform(lake: Lake, contracts: dict[str, dict], policy: dict, key: str | N
     record(lake, "build_silver", details)
     silver = {"customers": customers, "transactions": transactions, "pii_inventory": inventory}
     marts = build_gold(silver)
-    lake.replace_all(*[partial(lake.replace, mart, "gold", name) for name, mart in marts.items()])
+    side_by_side(lake.spark, [partial(lake.replace, mart, "gold", name) for name, mart in marts.items()])
     return details
 
 

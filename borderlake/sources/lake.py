@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
+from typing import TypeVar
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+T = TypeVar("T")
+
 LAYERS = ("bronze", "staging", "silver", "gold", "ops")
 
 
@@ -34,6 +37,14 @@ def run_id() -> str:
     return datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
 
 
+def side_by_side(spark: SparkSession, jobs: list[Callable[[], T]]) -> list[T]:
+    """Run independent Spark jobs at the same time, so that the last tasks of one
+    do not leave the cluster idle."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+        return [job.result() for job in started]
+
+
 class Lake:
     """Tables in schemas bronze, staging, silver, gold and ops under one root.
 
@@ -79,12 +90,6 @@ class Lake:
         self._forget_old_versions(layer, table)
         return self.table(layer, table), seen.get
 
-    def replace_all(self, *jobs: Callable[[], object]) -> list:
-        """Run independent builds side by side, so that the last tasks of one do
-        not leave the cluster idle."""
-        with ThreadPoolExecutor(len(jobs)) as pool:
-            return [done.result() for done in [pool.submit(inheritable_thread_target(self.spark)(job)) for job in jobs]]
-
     def append(self, frame: DataFrame, layer: str, table: str) -> None:
         path = f"{self.root}/{layer}/{table}"
         frame.write.mode("append").parquet(path)

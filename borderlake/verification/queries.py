@@ -253,7 +253,7 @@ def dup_transaction_ids(s: Staged) -> DataFrame:
 def dup_lineitems(s: Staged) -> DataFrame:
     """Order lines whose order and line number name several different lines."""
     line = F.concat_ws("-", "l_orderkey", "l_linenumber")
-    return conflicting_keys(collapse_copies(s.source("lineitem").withColumn("line", line)), "line")
+    return conflicting_keys(collapse_copies(derived.spread(s.source("lineitem")).withColumn("line", line)), "line")
 
 
 @query
@@ -517,10 +517,11 @@ def preview(s: Staged) -> DataFrame:
 
 @query
 def no_record_lost(s: Staged) -> DataFrame:
+    bronze, rejected = s.bronze, s.quarantine
     silver = {"customers": s.customers, "transactions": s.transactions}
     return union(
         [
-            assurance.record_balance(s.bronze[name], silver[name], s.quarantine, contract)
+            assurance.record_balance(bronze[name], silver[name], rejected, contract)
             for name, contract in s.contracts.items()
         ]
     )

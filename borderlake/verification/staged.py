@@ -9,6 +9,7 @@ stored files are gone.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,7 +19,7 @@ from borderlake.operators.judge import judge, quarantine
 from borderlake.operators.silver import silver_customers, silver_transactions
 from borderlake.plans.pipeline import ingest, transform
 from borderlake.sources.delivery import write_csv
-from borderlake.sources.lake import Lake, shared_folder
+from borderlake.sources.lake import Lake, shared_folder, side_by_side
 from borderlake.verification import derived
 
 _stored: dict[tuple, dict] = {}
@@ -42,8 +43,7 @@ class Staged:
     def bronze(self) -> dict[str, DataFrame]:
         def land() -> dict:
             folder = shared_folder(self.spark, "bronze")
-            for name, table in derived.deliveries(self.spark, self.sf_dir).items():
-                table.write.parquet(f"{folder}/{name}")
+            self._store(folder, derived.deliveries(self.spark, self.sf_dir))
             return {"folder": folder}
 
         folder = self._once("bronze", land)["folder"]
@@ -51,14 +51,14 @@ class Staged:
 
     @property
     def judged(self) -> dict[str, DataFrame]:
-        def store() -> dict:
+        def make() -> dict:
             folder = shared_folder(self.spark, "judged")
-            for name, table in judge(self.bronze, self.contracts, self._keeper(folder)).items():
-                self._keeper(folder)(f"judged_{name}", table)
+            judged = judge(self.bronze, self.contracts, lambda frames: self._store(folder, frames))
+            self._store(folder, judged)
             return {"folder": folder}
 
-        folder = self._once("judged", store)["folder"]
-        return {name: self.spark.read.parquet(f"{folder}/judged_{name}") for name in self.contracts}
+        folder = self._once("judged", make)["folder"]
+        return {name: self.spark.read.parquet(f"{folder}/{name}") for name in self.contracts}
 
     @property
     def lake(self) -> Lake:
@@ -103,16 +103,16 @@ class Staged:
 
     def new_delivery(self) -> dict[str, str]:
         folder = shared_folder(self.spark, "delivery")
-        for name, table in self.bronze.items():
-            write_csv(table, table.columns, f"{folder}/{name}.csv")
+        jobs = [partial(write_csv, t, t.columns, f"{folder}/{name}.csv") for name, t in self.bronze.items()]
+        side_by_side(self.spark, jobs)
         return {name: f"{folder}/{name}.csv" for name in self.contracts}
 
-    def _keeper(self, folder: str) -> Callable[[str, DataFrame], DataFrame]:
-        def keep(name: str, frame: DataFrame) -> DataFrame:
-            frame.write.parquet(f"{folder}/{name}")
+    def _store(self, folder: str, frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        def store(name: str) -> DataFrame:
+            frames[name].write.parquet(f"{folder}/{name}")
             return self.spark.read.parquet(f"{folder}/{name}")
 
-        return keep
+        return dict(zip(frames, side_by_side(self.spark, [partial(store, name) for name in frames]), strict=True))
 
     def _once(self, step: str, make: Callable[[], dict]) -> dict:
         versions = tuple(self._version(t) for t in ("customer", "orders"))
