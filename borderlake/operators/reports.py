@@ -55,7 +55,7 @@ def transfer_rows(transactions: DataFrame) -> DataFrame:
         "residency_status",
         F.col("amount_zar").cast("double").alias("amount_zar"),
         "merchant",
-        F.date_format("txn_timestamp", "yyyy-MM-dd").alias("txn_date"),
+        F.col("txn_timestamp").cast("date").cast("string").alias("txn_date"),
         "txn_timestamp",
     )
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from borderlake.operators.set_checks import union
-from borderlake.sources.synthetic import MERCHANTS, PROVINCES, luhn_digit, padded
+from borderlake.sources.synthetic import MERCHANTS, PROVINCES, iso_text, luhn_digit, padded
 
 # A key for checks only. It guards nothing.
 CHECK_KEY = "borderlake-check-key"
@@ -125,7 +125,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("amount_zar"),
         _fault({1: "USD"}, TRANSACTIONS, F.lit("ZAR")).alias("currency"),
         _fault({2: ""}, TRANSACTIONS, _choose(MERCHANTS, k % 10)).alias("merchant"),
-        _fault({9: "not-a-time"}, TRANSACTIONS, F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss")).alias("txn_timestamp"),
+        _fault({9: "not-a-time"}, TRANSACTIONS, iso_text(moment)).alias("txn_timestamp"),
         F.when(k % 251 == 7, F.lit("ap-south-1")).otherwise(region).alias("processing_region"),
     )
 

@@ -16,6 +16,7 @@ def spark(tmp_path_factory):
         .appName("borderlake-tests")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.driver.memory", "4g")
+        .config("spark.sql.session.timeZone", "America/New_York")  # results must not depend on it
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
