@@ -65,7 +65,8 @@ def merge_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         starts = np.flatnonzero(np.concatenate([[True], _differs(table)]))
         sums = np.add.reduceat(table["copies"].to_numpy(), starts)
         merged = table.take(pa.array(starts))
-        merged = merged.set_column(merged.schema.get_field_index("copies"), "copies", pa.array(sums))
+        at = merged.schema.get_field_index("copies")
+        merged = merged.set_column(at, merged.schema.field(at), pa.chunked_array([sums]))
         held = merged.slice(len(merged) - 1)  # its key may go on in the next batch
         yield from merged.slice(0, len(merged) - 1).to_batches()
     if held is not None:
