@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table
+from .common import ROW, read_table
 from .exact_dedup import exact_dedup
+from .language_id import language_id
 from .line_dedup import line_dedup
+from .lm_score import lm_score
 from .simhash import simhash_groups
 
 
@@ -20,6 +22,17 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(read_table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language_id(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents labelled as good are the target, all others the background."""
+    target = read_table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
+    return lm_score(read_table(spark, sf_dir, "documents"), target).drop(ROW)
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -28,6 +41,8 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op4_line_dedup": op4_line_dedup,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op6_language_id": op6_language_id,
+    "op7_lm_score": op7_lm_score,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
