@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import ROW, read_table
+from .decontaminate import find_items
 from .exact_dedup import exact_dedup
 from .language_id import language_id
 from .line_dedup import line_dedup
@@ -13,6 +14,10 @@ from .lm_score import lm_score
 from .simhash import simhash_groups
 
 
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_items(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop(ROW)
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -39,6 +44,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op4_line_dedup": op4_line_dedup,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_language_id": op6_language_id,
@@ -46,6 +52,25 @@ QUERIES = {
     "op9_exact_dedup": op9_exact_dedup,
 }
 
+#: Items are at least five words long in the tables given; the operator takes shorter ones too.
+DECONTAMINATION = r"""
+WITH texts AS (
+  SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark
+), split AS (
+  SELECT kind, id, list_filter(string_split(regexp_replace(lower(coalesce(text, '')), '[^\p{L}\p{N}]+', ' ', 'g'), ' '), lambda w: w <> '') AS words
+  FROM texts
+), sets AS (
+  SELECT kind, id, list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))) AS shingles
+  FROM split WHERE len(words) >= 5
+), items AS (
+  SELECT id AS item_id, len(shingles) AS n_item, unnest(shingles) AS shingle FROM sets WHERE kind = 'i'
+), docs AS (
+  SELECT id AS doc_id, unnest(shingles) AS shingle FROM sets WHERE kind = 'd'
+)
+SELECT doc_id, item_id, count(*) AS n_shared, n_item, count(*) / n_item AS containment
+FROM docs JOIN items USING (shingle) GROUP BY doc_id, item_id, n_item HAVING count(*) * 5 >= n_item * 4
+"""
+
 #: Keys of lines: stripped of ASCII white space, A-Z lowered, at least 40 code points.
 LINE_DEDUP = r"""
 WITH lines AS (
@@ -76,4 +101,4 @@ SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM normal WINDOW w AS (PARTITION BY t)
 """
 
-ORACLE_SQL = {"op4_line_dedup": LINE_DEDUP, "op9_exact_dedup": EXACT_DEDUP}
+ORACLE_SQL = {"op1_benchmark_decontamination": DECONTAMINATION, "op4_line_dedup": LINE_DEDUP, "op9_exact_dedup": EXACT_DEDUP}
