@@ -11,6 +11,7 @@ from .exact_dedup import exact_dedup
 from .language_id import language_id
 from .line_dedup import line_dedup
 from .lm_score import lm_score
+from .sentencepiece_lattice import round_trip
 from .simhash import simhash_groups
 
 
@@ -18,6 +19,10 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return find_items(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop(ROW)
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(read_table(spark, sf_dir, "documents")).drop(ROW)
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -45,6 +50,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
+    "op3_sentencepiece": op3_sentencepiece,
     "op4_line_dedup": op4_line_dedup,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_language_id": op6_language_id,
