@@ -13,12 +13,18 @@ from .line_dedup import line_dedup
 from .lm_score import lm_score
 from .sentencepiece_lattice import round_trip
 from .simhash import simhash_groups
+from .warc import archive_round_trip
 
 
 def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_items(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop(ROW)
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = archive_round_trip(read_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "verified")
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(read_table(spark, sf_dir, "documents")).drop(ROW)
 
@@ -50,6 +56,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
+    "op2_warc": op2_warc,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_line_dedup": op4_line_dedup,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
@@ -77,6 +84,18 @@ SELECT doc_id, item_id, count(*) AS n_shared, n_item, count(*) / n_item AS conta
 FROM docs JOIN items USING (shingle) GROUP BY doc_id, item_id, n_item HAVING count(*) * 5 >= n_item * 4
 """
 
+WARC = """
+WITH payloads AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS digest FROM pages
+), firsts AS (
+  SELECT *, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY digest) ELSE page_id END AS first FROM payloads
+)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to, true AS verified
+FROM firsts
+"""
+
 #: Keys of lines: stripped of ASCII white space, A-Z lowered, at least 40 code points.
 LINE_DEDUP = r"""
 WITH lines AS (
@@ -107,4 +126,4 @@ SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM normal WINDOW w AS (PARTITION BY t)
 """
 
-ORACLE_SQL = {"op1_benchmark_decontamination": DECONTAMINATION, "op4_line_dedup": LINE_DEDUP, "op9_exact_dedup": EXACT_DEDUP}
+ORACLE_SQL = {"op1_benchmark_decontamination": DECONTAMINATION, "op2_warc": WARC, "op4_line_dedup": LINE_DEDUP, "op9_exact_dedup": EXACT_DEDUP}
