@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .common import ROW, read_table
 from .decontaminate import find_items
 from .exact_dedup import exact_dedup
+from .html_extract import html_extract
 from .language_id import language_id
 from .line_dedup import line_dedup
 from .lm_score import lm_score
@@ -49,6 +50,10 @@ def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score(read_table(spark, sf_dir, "documents"), target).drop(ROW)
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract(read_table(spark, sf_dir, "pages")).drop(ROW)
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -62,6 +67,7 @@ QUERIES = {
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_language_id": op6_language_id,
     "op7_lm_score": op7_lm_score,
+    "op8_html_extraction": op8_html_extraction,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
