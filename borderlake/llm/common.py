@@ -47,14 +47,28 @@ def drop_stored(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def with_row_ids(docs: DataFrame) -> DataFrame:
+    """``docs`` with row ids. Two scans of one stored table number its rows alike: its splits
+    are pinned, which would else follow the number of executors there happen to be."""
+    spark = docs.sparkSession
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
+    return docs.withColumn(ROW, F.monotonically_increasing_id())
+
+
 def numbered(docs: DataFrame, *columns: str) -> DataFrame:
-    """The columns with a row id. Two scans of one stored table number its rows alike."""
-    return docs.select(*columns).withColumn(ROW, F.monotonically_increasing_id())
+    """The columns with a row id."""
+    return with_row_ids(docs.select(*columns))
 
 
 def keep_rows(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose row id is in ``rows``, all columns as they were."""
-    return docs.withColumn(ROW, F.monotonically_increasing_id()).join(rows.select(ROW), ROW, "left_semi").drop(ROW)
+    return with_row_ids(docs).join(rows.select(ROW), ROW, "left_semi").drop(ROW)
+
+
+def drop_rows(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose row id is not in ``rows``, all columns as they were."""
+    return with_row_ids(docs).join(rows.select(ROW), ROW, "left_anti").drop(ROW)
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:

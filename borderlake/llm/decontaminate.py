@@ -31,7 +31,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, numbered, stored
+from .common import ROW, drop_rows, numbered, stored
 
 #: Words in a shingle, share of an item's shingles that a document must hold.
 SHINGLE, THRESHOLD = 5, 0.8
@@ -128,5 +128,4 @@ def find_items(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD)
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that hold no item, with all their columns."""
-    found = find_items(docs, items, threshold).select(ROW)
-    return docs.withColumn(ROW, F.monotonically_increasing_id()).join(found, ROW, "left_anti").drop(ROW)
+    return drop_rows(docs, find_items(docs, items, threshold))

@@ -14,6 +14,7 @@ from .line_dedup import line_dedup
 from .lm_score import lm_score
 from .sentencepiece_lattice import round_trip
 from .simhash import simhash_groups
+from .suffix_dedup import suffix_dedup
 from .warc import archive_round_trip
 
 
@@ -59,6 +60,11 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_warc": op2_warc,
@@ -69,6 +75,7 @@ QUERIES = {
     "op7_lm_score": op7_lm_score,
     "op8_html_extraction": op8_html_extraction,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 #: Items are at least five words long in the tables given; the operator takes shorter ones too.
