@@ -65,7 +65,7 @@ class Lexicon(NamedTuple):
 
 
 def hash_step(value: np.ndarray, points: np.ndarray) -> np.ndarray:
-    mixed = (value ^ points.astype(np.uint64)) * PRIME
+    mixed = (value ^ (points.astype(np.uint64) + np.uint64(1))) * PRIME  # one more, so that no code point is without effect
     return mixed ^ (mixed >> np.uint64(29))
 
 
