@@ -23,13 +23,14 @@ from borderlake.functions.text import (
 )
 
 # Accepted formats. \A and \z, because $ also matches before a
-# final line break. (?U) makes \s cover Unicode whitespace.
-EMAIL = r"(?U)\A[^@\s]+@[^@\s]+\.[^@\s]+\z"
+# final line break. (?U) makes \s cover Unicode whitespace, and the four
+# separators from U+001C count as whitespace too.
+EMAIL = r"(?U)\A[^@\s\x1C-\x1F]+@[^@\s\x1C-\x1F]+\.[^@\s\x1C-\x1F]+\z"
 PHONE = r"\A\+27[0-9]{9}\z"
 ID_NUMBER = r"\A[0-9]{13}\z"
-ISO_DATE = r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
+ISO_DATE = r"\A(?!0000)[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
 ISO_TIMESTAMP = (
-    r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}"
+    r"\A(?!0000)[0-9]{4}-[0-9]{2}-[0-9]{2}"
     r"([T ][0-9]{2}(:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?)?"
     r"(Z|[+-][0-9]{2}(:?[0-9]{2})?)?)?\z"
 )

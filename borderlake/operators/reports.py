@@ -4,19 +4,17 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from borderlake.functions.residency import REGION_NAMES, region_name
 from borderlake.operators.gold import TOTAL, crossed
 from borderlake.operators.set_checks import union
-from borderlake.operators.skew import sliced_join
 
-# A subject's transfers are nested in pages of about this many, so that no row
-# and no task ever holds an unbounded group. Nearly every subject has one page.
+# A subject's transfers are nested in pages of this many, so that no row and no
+# task ever holds an unbounded group. Nearly every subject has one page.
 TRANSFERS_PER_PAGE = 500
 PREVIEW_ROWS = 50
-DISPLAY_ROWS = 500
 
 SUBJECT = ("customer_id", "sa_id_number", "email", "phone", "province", "signup_date", "home_region")
 
@@ -61,30 +59,37 @@ def transfer_rows(transactions: DataFrame) -> DataFrame:
 
 
 def transfer_stamps(transactions: DataFrame) -> DataFrame:
-    """Every crossing in order of time; the id settles equal times."""
-    return transfer_rows(transactions).orderBy("txn_timestamp", "transaction_id").drop("txn_timestamp")
+    """Every crossing. Readers order them by txn_timestamp; the id settles equal times."""
+    return transfer_rows(transactions)
+
+
+def time_pages(rows: DataFrame, page_size: int) -> DataFrame:
+    """Number each customer's rows in order of time, ``page_size`` to a page, from 0.
+
+    Rows before an hour come from running sums over the hours of a customer, and
+    only the rows of one hour are ranked together, so that no task ever orders
+    all rows of a busy customer.
+    """
+    hourly = rows.withColumn("_hour", F.date_trunc("HOUR", "txn_timestamp"))
+    earlier = Window.partitionBy("customer_id").orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("customer_id", "_hour").orderBy("txn_timestamp", "transaction_id")
+    hours = hourly.groupBy("customer_id", "_hour").agg(F.count("*").alias("_n"))
+    before = hours.select("customer_id", "_hour", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    place = F.col("_before") + F.row_number().over(within) - 1
+    ranked = hourly.join(before, ["customer_id", "_hour"]).withColumn("page", F.floor(place / page_size))
+    return ranked.drop("_hour", "_before")
 
 
 def subject_transfers(
-    customers: DataFrame,
-    transactions: DataFrame,
-    page_size: int = TRANSFERS_PER_PAGE,
-    slice_rows: int | None = None,
+    customers: DataFrame, transactions: DataFrame, page_size: int = TRANSFERS_PER_PAGE
 ) -> DataFrame:
-    """Subjects with their transfers nested, busiest first: most regions, then
-    most transfers, then id.
+    """Subjects with their transfers nested, one row per subject and page.
 
-    One row per subject and page. Transfers are in order of time within a page;
-    a subject beyond ``page_size`` transfers has them spread over several pages
-    by a hash of the transaction id.
+    Transfers are in order of time, within a page and from page to page. They are
+    nested before the subject is joined, so its columns are not shuffled with
+    every transfer. Readers order subjects by region_count and transfer_count,
+    the busiest first, then by id and page.
     """
-    counted = crossing_counts(transactions).withColumn(
-        "pages", F.ceil(F.col("transfer_count") / page_size).cast("int")
-    )
-    people = customers.withColumn("signup_date", F.col("signup_date").cast("string")).select(*SUBJECT)
-    subjects = people.join(counted, "customer_id")
-    counts = counted.select("customer_id", F.col("transfer_count").alias("n"))
-    rows = sliced_join(transfer_rows(transactions), subjects, "customer_id", "inner", counts, slice_rows)
     transfer = F.struct(
         "txn_timestamp",
         "transaction_id",
@@ -94,15 +99,13 @@ def subject_transfers(
         "merchant",
         "txn_date",
     )
-    numbered = rows.withColumn(
-        "page", F.when(F.col("pages") == 1, 0).otherwise(F.pmod(F.xxhash64("transaction_id"), "pages")).cast("int")
+    pages = time_pages(transfer_rows(transactions), page_size).groupBy("customer_id", "page")
+    nested = pages.agg(F.sort_array(F.collect_list(transfer)).alias("stamps"))
+    plain = F.transform("stamps", lambda s: s.dropFields("txn_timestamp")).alias("stamps")
+    subjects = _subjects(customers, transactions)
+    return subjects.join(nested.select("customer_id", "page", plain), "customer_id").select(
+        *SUBJECT, "domestic_txns", "region_count", "transfer_count", "page", "stamps"
     )
-    nested = numbered.groupBy(*SUBJECT, "domestic_txns", "region_count", "transfer_count", "page").agg(
-        F.sort_array(F.collect_list(transfer)).alias("stamps")
-    )
-    return nested.withColumn(
-        "stamps", F.transform("stamps", lambda s: s.dropFields("txn_timestamp"))
-    ).orderBy(F.desc("region_count"), F.desc("transfer_count"), "customer_id", "page")
 
 
 def _totals(report: DataFrame) -> DataFrame:
@@ -137,6 +140,7 @@ def view_payload(
     quarantine: DataFrame,
     inventory: DataFrame,
     policy: dict,
+    page_size: int = TRANSFERS_PER_PAGE,
 ) -> DataFrame:
     """Everything a page about transfers shows, as JSON: one row per subject and
     page, per personal column, and one each for totals and settings.
@@ -161,7 +165,7 @@ def view_payload(
     }
     return union(
         [
-            part("subject", subject_transfers(customers, transactions)),
+            part("subject", subject_transfers(customers, transactions, page_size)),
             part("totals", totals),
             part("pii", customer_pii(inventory)),
             spark.createDataFrame([("settings", json.dumps(settings))], "part string, body string"),
@@ -219,5 +223,5 @@ def revenue_by_province(daily: DataFrame) -> DataFrame:
 
 
 def preview(table: DataFrame, *order: str, rows: int = PREVIEW_ROWS) -> DataFrame:
-    """The first rows of a table, at most what a screen shows."""
-    return table.orderBy(*[F.asc_nulls_last(c) for c in order]).limit(min(rows, DISPLAY_ROWS))
+    """The first rows of a table."""
+    return table.orderBy(*[F.asc_nulls_last(c) for c in order]).limit(rows)

@@ -16,7 +16,7 @@ from borderlake.operators.contracts import (
     pii_columns,
     redaction,
 )
-from borderlake.operators.skew import sliced_join
+from borderlake.operators.skew import count_keys, sliced_join
 
 UNIQUE = "unique"
 REFERENTIAL = "referential_integrity"
@@ -35,9 +35,9 @@ def collapse_copies(table: DataFrame) -> DataFrame:
     return table.groupBy(*payload).agg(*[F.min(c).alias(c) for c in lineage])
 
 
-def conflicting_keys(unique_rows: DataFrame, key: str) -> DataFrame:
+def conflicting_keys(unique_rows: DataFrame, *key: str) -> DataFrame:
     """Keys carried by more than one different row, with the number of rows ``n``."""
-    return unique_rows.groupBy(key).agg(F.count("*").alias("n")).filter("n > 1")
+    return unique_rows.groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1")
 
 
 def duplicate_keys(table: DataFrame, contract: dict) -> DataFrame:
@@ -48,7 +48,9 @@ def duplicate_keys(table: DataFrame, contract: dict) -> DataFrame:
 def orphans(children: DataFrame, column: str, parents: DataFrame, parent_column: str) -> DataFrame:
     """Rows of ``children`` whose reference has no parent row at all."""
     known = parents.select(F.col(parent_column).alias(column)).distinct()
-    return sliced_join(children, known, column, "left_anti")
+    dangling = children.select(column).distinct().join(known, column, "left_anti")
+    counts = count_keys(children, column).join(dangling, column, "left_semi")
+    return sliced_join(children, dangling, column, "left_semi", counts)
 
 
 def unique_check(contract: dict, versions: Column) -> Check:
@@ -82,7 +84,7 @@ def set_check_violations(tables: dict[str, DataFrame], contracts: dict[str, dict
             conflicts = conflicting_keys(collapse_copies(clean[name]), key)
             found.append(emit(conflicts, contract, [unique_check(contract, F.col("n"))]))
         for column, parent, parent_column in foreign_keys(contract):
-            children = clean[name].select(*{key, column} & set(clean[name].columns))
+            children = clean[name].select(*[c for c in dict.fromkeys((key, column)) if c in clean[name].columns])
             dangling = orphans(children, column, clean[parent], parent_column)
             found.append(emit(dangling, contract, [reference_check(contract, column, parent, F.lit(True))]))
     return union(found)

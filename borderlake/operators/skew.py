@@ -7,23 +7,19 @@ from pyspark.sql import functions as F
 
 # Rows of one key that one task may get; a more frequent key is cut into slices.
 SLICE_ROWS = 1_000_000
-# Size bound of the broadcast list of frequent keys. With N rows, a key that is
-# left out has under N / MAX_HOT_KEYS rows and takes the ordinary shuffle.
-MAX_HOT_KEYS = 100_000
+# Slices are so large, if not larger, that there are at most so many. As every
+# frequent key fills a slice, this bounds the broadcast list by arithmetic.
+MAX_SLICES = 100_000
 
 
 def hot_keys(counts: DataFrame, key: str, slice_rows: int | None = None) -> DataFrame:
-    """The most frequent keys with the number of slices each needs.
+    """Every key with more rows than a slice, and the number of slices it needs.
 
-    ``counts`` has the key and its row count ``n``. At most MAX_HOT_KEYS rows.
+    ``counts`` has the key and its row count ``n``. Fewer than MAX_SLICES keys.
     """
-    size = slice_rows or SLICE_ROWS
-    return (
-        counts.filter(F.col("n") > size)
-        .orderBy(F.desc("n"), key)
-        .limit(MAX_HOT_KEYS)
-        .select(key, F.ceil(F.col("n") / size).cast("int").alias("_slices"))
-    )
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
+    size = F.greatest(F.lit(slice_rows or SLICE_ROWS), F.ceil(total / MAX_SLICES))
+    return counts.filter(F.col("n") > size).select(key, F.ceil(F.col("n") / size).cast("int").alias("_slices"))
 
 
 def count_keys(rows: DataFrame, key: str) -> DataFrame:

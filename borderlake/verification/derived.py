@@ -11,7 +11,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from borderlake.operators.set_checks import union
-from borderlake.sources.synthetic import MERCHANTS, PROVINCES, iso_text, luhn_digit, padded
+from borderlake.sources.synthetic import (
+    BROKEN_AMOUNT,
+    BROKEN_PROVINCE,
+    MERCHANTS,
+    PROVINCES,
+    UNKNOWN_CUSTOMER,
+    iso_text,
+    luhn_digit,
+    numbered,
+    padded,
+)
 
 # A key for checks only. It guards nothing.
 CHECK_KEY = "borderlake-check-key"
@@ -24,12 +34,6 @@ def source(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def spread(table: DataFrame) -> DataFrame:
-    """Use all cores on a table too small to be split; a large one is left alone."""
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
-
-
 def _with_copies(rows: DataFrame) -> DataFrame:
     """Deliver every 103rd row twice."""
     times = F.when(F.col("k") % 103 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
@@ -48,11 +52,11 @@ def _choose(options: list[str], index: Column) -> Column:
 
 
 def customer_id(k: Column) -> Column:
-    return F.concat(F.lit("C"), padded(k, 7))
+    return numbered("C", k, 7)
 
 
 def transaction_id(k: Column) -> Column:
-    return F.concat(F.lit("T"), padded(k, 9))
+    return numbered("T", k, 9)
 
 
 def customer_key() -> Column:
@@ -71,9 +75,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     month = F.when(k % CUSTOMERS == 7, F.lit("13")).otherwise(padded(k % 12 + 1, 2))
     rows = (
         _with_copies(
-            spread(
-                source(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), F.col("c_nationkey").alias("nation"))
-            )
+            source(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), F.col("c_nationkey").alias("nation"))
         )
         .withColumn(
             "payload",
@@ -81,11 +83,11 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .withColumn("check", luhn_digit(payload))
     )
-    wrong = ((check.cast("int") + 1) % 10).cast("string")
+    wrong = ((check.cast("int") + 5) % 10).cast("string")
     email = F.concat(F.lit("USER"), k.cast("string"), F.lit("@Example.co.za"))
     email = F.when(k % 13 == 6, F.concat(F.lit("  "), email, F.lit("\t"))).otherwise(email)
     phone = F.concat(F.lit("+27"), padded((k * 7919) % 1_000_000_000, 9))
-    province = _fault({3: "Atlantis"}, CUSTOMERS, _choose(PROVINCES, nation % 9))
+    province = _fault({3: BROKEN_PROVINCE}, CUSTOMERS, _choose(PROVINCES, nation % 9))
     signup = F.date_add(F.lit("2023-01-01").cast("date"), (k % 1000).cast("int")).cast("string")
     return rows.select(
         customer_key().alias("customer_id"),
@@ -107,19 +109,17 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     owner_id = F.when(k % 89 == 0, F.concat(F.lit(" "), owner_id, F.lit("\t "))).otherwise(owner_id)
     region = F.when(k % 25 == 0, F.lit("eu-west-1")).when(k % 25 == 1, F.lit("us-east-1")).otherwise(F.lit("af-south-1"))
     moment = F.col("placed") + F.make_dt_interval(secs=k % 86_400)
-    rows = spread(
-        source(spark, sf_dir, "orders").select(
-            F.col("o_orderkey").alias("k"),
-            F.col("o_custkey").alias("owner"),
-            F.col("o_totalprice").alias("price"),
-            F.col("o_orderdate").alias("placed"),
-        )
+    rows = source(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("k"),
+        F.col("o_custkey").alias("owner"),
+        F.col("o_totalprice").alias("price"),
+        F.col("o_orderdate").alias("placed"),
     )
     return _with_copies(rows).select(
         transaction_key().alias("transaction_id"),
-        _fault({3: "C9999999"}, TRANSACTIONS, owner_id).alias("customer_id"),
+        _fault({3: UNKNOWN_CUSTOMER}, TRANSACTIONS, owner_id).alias("customer_id"),
         _fault(
-            {0: "-149.99", 6: "abc", 7: "nan", 8: "1.0d"},
+            {0: BROKEN_AMOUNT, 6: "abc", 7: "nan", 8: "1.0d"},
             TRANSACTIONS,
             F.col("price").cast("decimal(12,2)").cast("string"),
         ).alias("amount_zar"),

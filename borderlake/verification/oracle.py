@@ -10,13 +10,18 @@ from __future__ import annotations
 import hashlib
 
 from borderlake.sources.synthetic import (
+    BROKEN_AMOUNT,
+    BROKEN_PROVINCE,
     FIRST_NAMES,
     FOREIGN_REGIONS,
     LAST_NAMES,
+    MAX_CENTS,
     MERCHANTS,
+    MIN_CENTS,
     PHONE_PREFIXES,
     PROVINCES,
     SEED,
+    UNKNOWN_CUSTOMER,
 )
 from borderlake.verification.derived import CHECK_KEY
 
@@ -66,16 +71,16 @@ checked_customers AS (
     SELECT *, (10 - {_luhn_sum('payload', 12)} % 10) % 10 AS digit FROM raw_customers
 ),
 bronze_customers AS (
-    SELECT 'C' || lpad(CAST(CASE WHEN k % 113 = 9 THEN k - 1 ELSE k END AS VARCHAR), 7, '0') AS customer_id,
+    SELECT printf('C%07d', CASE WHEN k % 113 = 9 THEN k - 1 ELSE k END) AS customer_id,
            CASE WHEN k % 97 = 4 THEN '' ELSE 'F' || k END AS first_name,
            'L' || (k % 500) AS last_name,
-           payload || CASE WHEN k % 97 = 1 THEN (digit + 1) % 10 ELSE digit END AS sa_id_number,
+           payload || CASE WHEN k % 97 = 1 THEN (digit + 5) % 10 ELSE digit END AS sa_id_number,
            CASE WHEN k % 97 = 2 THEN 'user.example.com'
                 WHEN k % 13 = 6 THEN '  USER' || k || '@Example.co.za' || chr(9)
                 ELSE 'USER' || k || '@Example.co.za' END AS email,
            CASE WHEN k % 97 = 5 THEN '0821234567' WHEN k % 11 = 0 THEN ''
                 ELSE '+27' || lpad(CAST((k * 7919) % 1000000000 AS VARCHAR), 9, '0') END AS phone,
-           CASE WHEN k % 97 = 3 THEN 'Atlantis' ELSE ({_list(PROVINCES)})[nation % 9 + 1] END
+           CASE WHEN k % 97 = 3 THEN '{BROKEN_PROVINCE}' ELSE ({_list(PROVINCES)})[nation % 9 + 1] END
            || CASE WHEN k % 83 = 0 THEN '  ' ELSE '' END AS province,
            CASE WHEN k % 97 = 6 THEN '2023-02-30'
                 ELSE CAST(DATE '2023-01-01' + CAST(k % 1000 AS INT) AS VARCHAR) END AS signup_date,
@@ -88,11 +93,11 @@ raw_transactions AS (
     FROM orders, (SELECT unnest([0, 1]) AS copy) WHERE copy = 0 OR o_orderkey % 103 = 0
 ),
 bronze_transactions AS (
-    SELECT 'T' || lpad(CAST(CASE WHEN k % 101 = 5 THEN k - 1 ELSE k END AS VARCHAR), 9, '0') AS transaction_id,
-           CASE WHEN k % 101 = 3 THEN 'C9999999'
-                WHEN k % 89 = 0 THEN ' C' || lpad(CAST(owner AS VARCHAR), 7, '0') || chr(9) || ' '
-                ELSE 'C' || lpad(CAST(owner AS VARCHAR), 7, '0') END AS customer_id,
-           CASE k % 101 WHEN 0 THEN '-149.99' WHEN 6 THEN 'abc' WHEN 7 THEN 'nan' WHEN 8 THEN '1.0d'
+    SELECT printf('T%09d', CASE WHEN k % 101 = 5 THEN k - 1 ELSE k END) AS transaction_id,
+           CASE WHEN k % 101 = 3 THEN '{UNKNOWN_CUSTOMER}'
+                WHEN k % 89 = 0 THEN printf(' C%07d', owner) || chr(9) || ' '
+                ELSE printf('C%07d', owner) END AS customer_id,
+           CASE k % 101 WHEN 0 THEN '{BROKEN_AMOUNT}' WHEN 6 THEN 'abc' WHEN 7 THEN 'nan' WHEN 8 THEN '1.0d'
                 ELSE CAST(CAST(price AS DECIMAL(12,2)) AS VARCHAR) END AS amount_zar,
            CASE WHEN k % 101 = 1 THEN 'USD' ELSE 'ZAR' END AS currency,
            CASE WHEN k % 101 = 2 THEN '' ELSE ({_list(MERCHANTS)})[k % 10 + 1] END AS merchant,
@@ -247,17 +252,19 @@ redacted_rows AS (
 ),
 violations AS (SELECT * FROM redacted_rows UNION SELECT * FROM set_violations),
 parent_reasons AS (
-    SELECT DISTINCT 'transactions' AS dataset, t.transaction_id AS record_key, 'customer_id' AS column_name,
-           'parent_quarantined' AS rule, 'customer ' || t.customer_id || ' is quarantined' AS reason
-    FROM unique_transactions t
-    WHERE t.customer_id IN (SELECT record_key FROM violations WHERE dataset = 'customers')
+    SELECT DISTINCT 'transactions' AS dataset, transaction_id AS record_key, 'customer_id' AS column_name,
+           'parent_quarantined' AS rule, 'customer ' || customer_id || ' is quarantined' AS reason
+    FROM unique_transactions
+    SEMI JOIN (SELECT record_key AS customer_id FROM violations WHERE dataset = 'customers') USING (customer_id)
+),
+placed AS (
+    SELECT transaction_id, processing_region, {_verdict('home_region', 'processing_region')} AS verdict
+    FROM clean_transactions JOIN clean_customers USING (customer_id)
 ),
 blocked_reasons AS (
-    SELECT DISTINCT 'transactions' AS dataset, t.transaction_id AS record_key, 'processing_region' AS column_name,
-           'residency_blocked' AS rule,
-           'processing_region ' || t.processing_region || ' -> ' || {_verdict('c.home_region', 't.processing_region')} AS reason
-    FROM clean_transactions t JOIN clean_customers c ON c.customer_id = t.customer_id
-    WHERE {_verdict('c.home_region', 't.processing_region')} NOT IN ('domestic', 'cross_border_flagged')
+    SELECT DISTINCT 'transactions' AS dataset, transaction_id AS record_key, 'processing_region' AS column_name,
+           'residency_blocked' AS rule, concat('processing_region ', processing_region, ' -> ', verdict) AS reason
+    FROM placed WHERE verdict = 'blocked'
 ),
 quarantine AS (
     SELECT *, 'bronze.' || dataset AS source_table
@@ -307,40 +314,38 @@ daily AS (
     FROM silver_transactions t JOIN silver_customers c ON c.customer_id = t.customer_id
     GROUP BY CAST(t.txn_timestamp AS DATE), c.province
 ),
-totals AS (
-    SELECT customer_id, count(*) AS transaction_count, sum(amount_zar) AS total_spend_zar,
-           round(avg(amount_zar), 2) AS avg_transaction_zar, min(txn_timestamp) AS first_txn_at,
-           max(txn_timestamp) AS last_txn_at,
-           count(*) FILTER (WHERE processing_region <> home_region) AS cross_border_txn_count
-    FROM silver_transactions GROUP BY customer_id
+visits AS (
+    SELECT customer_id, merchant, count(*) AS n, sum(amount_zar) AS spent, min(txn_timestamp) AS opened,
+           max(txn_timestamp) AS closed, sum(CAST(processing_region <> home_region AS INT)) AS abroad
+    FROM silver_transactions GROUP BY customer_id, merchant
 ),
-favourite AS (
-    SELECT customer_id, merchant AS favourite_merchant FROM (
-        SELECT customer_id, merchant,
-               row_number() OVER (PARTITION BY customer_id ORDER BY count(*) DESC, merchant) AS place
-        FROM silver_transactions GROUP BY customer_id, merchant
-    ) WHERE place = 1
+activity AS (
+    SELECT customer_id, CAST(sum(n) AS BIGINT) AS transaction_count, sum(spent) AS total_spend_zar,
+           round(CAST(sum(spent) AS DOUBLE) / sum(n), 2) AS avg_transaction_zar, min(opened) AS first_txn_at,
+           max(closed) AS last_txn_at, CAST(sum(abroad) AS BIGINT) AS cross_border_txn_count,
+           list(merchant ORDER BY n DESC, merchant)[1] AS favourite_merchant
+    FROM visits GROUP BY customer_id
 ),
 summary AS (
-    SELECT c.customer_id, c.province, c.signup_date, coalesce(t.transaction_count, 0) AS transaction_count,
-           coalesce(t.total_spend_zar, 0) AS total_spend_zar, t.avg_transaction_zar, t.first_txn_at, t.last_txn_at,
-           f.favourite_merchant, coalesce(t.cross_border_txn_count, 0) AS cross_border_txn_count
-    FROM silver_customers c LEFT JOIN totals t USING (customer_id) LEFT JOIN favourite f USING (customer_id)
+    SELECT customer_id, province, signup_date, ifnull(transaction_count, 0) AS transaction_count,
+           ifnull(total_spend_zar, 0) AS total_spend_zar, avg_transaction_zar, first_txn_at, last_txn_at,
+           favourite_merchant, ifnull(cross_border_txn_count, 0) AS cross_border_txn_count
+    FROM activity RIGHT JOIN silver_customers USING (customer_id)
 ),
-volume AS (
-    SELECT CAST(date_trunc('month', txn_timestamp) AS DATE) AS transfer_month, count(*) AS all_txns
-    FROM silver_transactions GROUP BY 1
+routes AS (
+    SELECT CAST(date_trunc('month', txn_timestamp) AS DATE) AS transfer_month, home_region, processing_region,
+           residency_status, count(*) AS transfer_count, count(DISTINCT customer_id) AS data_subjects_affected,
+           sum(amount_zar) AS amount_zar, min(txn_timestamp) AS first_transfer_at, max(txn_timestamp) AS last_transfer_at
+    FROM silver_transactions GROUP BY ALL
+),
+shares AS (
+    SELECT *, round(100.0 * transfer_count / sum(transfer_count) OVER (PARTITION BY transfer_month), 2) AS pct_of_month_txns
+    FROM routes
 ),
 report AS (
-    SELECT v.transfer_month, t.home_region, t.processing_region, t.residency_status, count(*) AS transfer_count,
-           count(DISTINCT t.customer_id) AS data_subjects_affected, sum(t.amount_zar) AS amount_zar,
-           round(100.0 * count(*) / any_value(v.all_txns), 2) AS pct_of_month_txns,
-           min(t.txn_timestamp) AS first_transfer_at, max(t.txn_timestamp) AS last_transfer_at,
-           (SELECT string_agg(column_name, ', ' ORDER BY column_name) FROM inventory) AS pii_categories
-    FROM silver_transactions t
-    JOIN volume v ON v.transfer_month = CAST(date_trunc('month', t.txn_timestamp) AS DATE)
-    WHERE t.processing_region <> t.home_region
-    GROUP BY ALL
+    SELECT shares.*, names.pii_categories
+    FROM shares, (SELECT string_agg(column_name, ', ' ORDER BY column_name) AS pii_categories FROM inventory) AS names
+    WHERE processing_region <> home_region
 ),
 crossings AS (
     SELECT customer_id, count(*) FILTER (WHERE processing_region = home_region) AS domestic_txns,
@@ -354,15 +359,19 @@ stamps AS (
            merchant, strftime(txn_timestamp, '%Y-%m-%d') AS txn_date, txn_timestamp
     FROM silver_transactions WHERE processing_region <> home_region
 ),
-subjects AS (
-    SELECT c.customer_id, c.sa_id_number, c.email, c.phone, c.province, CAST(c.signup_date AS VARCHAR) AS signup_date,
-           c.home_region, x.domestic_txns, x.region_count, x.transfer_count, CAST(0 AS BIGINT) AS page,
-           (SELECT list({'transaction_id': s.transaction_id, 'processing_region': s.processing_region,
-                         'residency_status': s.residency_status, 'amount_zar': s.amount_zar, 'merchant': s.merchant,
-                         'txn_date': s.txn_date} ORDER BY s.txn_timestamp, s.transaction_id)
-            FROM stamps s WHERE s.customer_id = c.customer_id) AS stamps
+pages AS (
+    SELECT customer_id, (place - 1) // 2 AS page,
+           list({'transaction_id': transaction_id, 'processing_region': processing_region,
+                 'residency_status': residency_status, 'amount_zar': amount_zar, 'merchant': merchant,
+                 'txn_date': txn_date} ORDER BY place) AS stamps
+    FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY txn_timestamp, transaction_id) AS place FROM stamps)
+    GROUP BY ALL
+),
+people AS (
+    SELECT c.* REPLACE (CAST(signup_date AS VARCHAR) AS signup_date), x.domestic_txns, x.region_count, x.transfer_count
     FROM silver_customers c JOIN crossings x USING (customer_id)
-)"""
+),
+subjects AS (SELECT * FROM people JOIN pages USING (customer_id))"""
 
 CHAIN = "WITH " + ",".join([BRONZE, ROWS, VIOLATIONS, SILVER, GOLD]) + "\n"
 
@@ -410,24 +419,6 @@ _TABLES = {
 _LINEAGE_TYPES = ["_source_file:string", "_ingested_at:string"]
 # Columns of the stored tables, money as published (double).
 _COLUMNS = {
-    "bronze.customers": [
-        *(
-            f"{c}:string"
-            for c in (
-                "customer_id first_name last_name sa_id_number email phone province signup_date home_region "
-                "_ingested_at _source_file"
-            ).split()
-        )
-    ],
-    "bronze.transactions": [
-        *(
-            f"{c}:string"
-            for c in (
-                "transaction_id customer_id amount_zar currency merchant txn_timestamp processing_region "
-                "_ingested_at _source_file"
-            ).split()
-        )
-    ],
     "silver.customers": [
         "customer_id:string", "sa_id_number:string", "email:string", "phone:string", "province:string",
         "signup_date:date", "home_region:string", *_LINEAGE_TYPES,
@@ -457,12 +448,6 @@ _COLUMNS = {
         "first_transfer_at:timestamp_ntz", "last_transfer_at:timestamp_ntz", "pii_categories:string",
     ],
 }
-_STORED_MONEY = {
-    "amount_zar:double": {"silver.transactions": "decimal(12,2)", "gold.cross_border_transfer_report": "decimal(38,2)"},
-    "revenue_zar:double": {"gold.daily_revenue_by_province": "decimal(38,2)"},
-    "total_spend_zar:double": {"gold.customer_transaction_summary": "decimal(38,2)"},
-}
-
 
 def _counts(*layers: str, label: str = "table_name", name: str = "{table}", extra: str = "") -> str:
     return " UNION ALL ".join(
@@ -481,20 +466,6 @@ def _manifest() -> str:
     )
 
 
-def _catalog() -> str:
-    rows = []
-    for name, columns in _COLUMNS.items():
-        layer, table = name.split(".")
-        for position, column in enumerate(columns, start=1):
-            label, kind = column.split(":")
-            kind = _STORED_MONEY.get(column, {}).get(name, kind)
-            rows.append(f"('{layer}', '{table}', CAST({position} AS BIGINT), '{label}', '{kind}')")
-    return (
-        f"SELECT * FROM (VALUES {', '.join(rows)}) "
-        "AS v(table_schema, table_name, position, column_name, data_type)"
-    )
-
-
 def _draw(tag: str, below: str) -> str:
     return f"(CAST('0x' || substr(md5('{SEED}:{tag}:' || id), 1, 15) AS BIGINT) % {below})"
 
@@ -531,7 +502,7 @@ _STEP = (
 SYNTHETIC_TRANSACTIONS = f"""
 WITH ids AS (SELECT o_orderkey + 1 AS id FROM orders)
 SELECT printf('T%06d', id) AS transaction_id, printf('C%05d', {_draw('customer', _NC)} + 1) AS customer_id,
-       CAST(CAST(({_draw('amount', '848501')} + 1500) / 100.0 AS DECIMAL(12,2)) AS VARCHAR) AS amount_zar,
+       CAST(CAST(({_draw('amount', str(MAX_CENTS - MIN_CENTS + 1))} + {MIN_CENTS}) / 100.0 AS DECIMAL(12,2)) AS VARCHAR) AS amount_zar,
        'ZAR' AS currency, {_pick('merchant', MERCHANTS)} AS merchant,
        strftime(TIMESTAMP '2026-09-27 23:59:59' - to_days(CAST({_draw('days', '366')} AS INT))
                 - to_seconds({_draw('seconds', '86400')}), '%Y-%m-%dT%H:%M:%S') AS txn_timestamp,
@@ -581,7 +552,7 @@ FROM parsed WHERE number IS NULL OR isnan(number) OR number < 100
 
 FAULTS = """
 SELECT 'customers' AS dataset,
-       'C' || lpad(CAST(CASE WHEN c_custkey % 113 = 9 THEN c_custkey - 1 ELSE c_custkey END AS VARCHAR), 7, '0') AS record_key,
+       printf('C%07d', CASE WHEN c_custkey % 113 = 9 THEN c_custkey - 1 ELSE c_custkey END) AS record_key,
        unnest(list_concat(
            CASE c_custkey % 97 WHEN 1 THEN ['sa_id'] WHEN 2 THEN ['email'] WHEN 3 THEN ['allowed_values']
                 WHEN 4 THEN ['not_null'] WHEN 5 THEN ['phone'] WHEN 6 THEN ['type'] WHEN 7 THEN ['sa_id'] ELSE [] END,
@@ -589,7 +560,7 @@ SELECT 'customers' AS dataset,
 FROM customer
 UNION
 SELECT 'transactions',
-       'T' || lpad(CAST(CASE WHEN o_orderkey % 101 = 5 THEN o_orderkey - 1 ELSE o_orderkey END AS VARCHAR), 9, '0'),
+       printf('T%09d', CASE WHEN o_orderkey % 101 = 5 THEN o_orderkey - 1 ELSE o_orderkey END),
        unnest(list_concat(
            CASE o_orderkey % 101 WHEN 0 THEN ['min'] WHEN 1 THEN ['allowed_values'] WHEN 2 THEN ['not_null']
                 WHEN 3 THEN ['referential_integrity'] WHEN 5 THEN ['unique'] WHEN 6 THEN ['type', 'min']
@@ -655,7 +626,6 @@ _FROM_CHAIN = {
     "publish_layer": _SUMMARY,
     "publish_manifest": _manifest(),
     "published_views": _counts("silver", "gold", label="view_name", name="{layer}_{table}"),
-    "table_catalog": _catalog(),
     # contract rules
     "validate_customers": "SELECT * FROM row_violations WHERE dataset = 'customers'",
     "validate_transactions": "SELECT * FROM row_violations WHERE dataset = 'transactions'",
@@ -703,22 +673,25 @@ _FROM_CHAIN = {
     # marts
     "daily_revenue_by_province": _DAILY,
     "customer_transaction_summary": _SUMMARY,
-    "favourite_merchant": "SELECT * FROM favourite",
+    "favourite_merchant": "SELECT customer_id, favourite_merchant FROM activity",
     "customer_totals": (
-        "SELECT * REPLACE (CAST(total_spend_zar AS DOUBLE) AS total_spend_zar, "
-        "CAST(first_txn_at AS VARCHAR) AS first_txn_at, CAST(last_txn_at AS VARCHAR) AS last_txn_at) FROM totals"
+        "SELECT * EXCLUDE (favourite_merchant) REPLACE (CAST(total_spend_zar AS DOUBLE) AS total_spend_zar, "
+        "CAST(first_txn_at AS VARCHAR) AS first_txn_at, CAST(last_txn_at AS VARCHAR) AS last_txn_at) FROM activity"
     ),
     "cross_border_transfer_report": _REPORT,
-    "monthly_volume": "SELECT CAST(transfer_month AS VARCHAR) AS transfer_month, all_txns FROM volume",
+    "monthly_volume": (
+        "SELECT CAST(transfer_month AS VARCHAR) AS transfer_month, CAST(sum(transfer_count) AS BIGINT) AS all_txns "
+        "FROM routes GROUP BY 1"
+    ),
     "pii_categories": (
         "SELECT string_agg(column_name, ', ' ORDER BY column_name) AS pii_categories "
-        "FROM inventory JOIN held USING (column_name) WHERE values_held > 0"
+        "FROM inventory"
     ),
     # reports
     "stamped_subjects": (
-        "SELECT customer_id, sa_id_number, email, phone, province, signup_date, home_region, domestic_txns FROM subjects"
+        "SELECT customer_id, sa_id_number, email, phone, province, signup_date, home_region, domestic_txns FROM people"
     ),
-    "transfer_stamps": "SELECT * EXCLUDE (txn_timestamp) FROM stamps ORDER BY txn_timestamp, transaction_id",
+    "transfer_stamps": "SELECT * REPLACE (CAST(txn_timestamp AS VARCHAR) AS txn_timestamp) FROM stamps",
     "subject_transfers": _SUBJECTS,
     "transfer_totals": (
         "SELECT CAST(sum(transfer_count) AS BIGINT) AS transfers, CAST(sum(amount_zar) AS DOUBLE) AS amount_zar, "
@@ -726,8 +699,7 @@ _FROM_CHAIN = {
     ),
     "blocked_count": "SELECT count(*) AS blocked FROM quarantine WHERE rule = 'residency_blocked'",
     "customer_pii": (
-        "SELECT column_name, mask_strategy FROM inventory JOIN held USING (column_name) "
-        "WHERE dataset = 'customers' AND values_held > 0"
+        "SELECT column_name, mask_strategy FROM inventory WHERE dataset = 'customers'"
     ),
     "subject_json": (
         f"SELECT 'subject' AS part, {_json(*_SUBJECT_FIELDS)} AS body FROM subjects "

@@ -4,7 +4,9 @@ from pathlib import Path
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from borderlake.verification.oracle import oracle
+from borderlake.verification.queries import REGISTERED
 from compare import connect, difference
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -17,12 +19,12 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(REGISTERED) == set(oracle())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(REGISTERED))
 def test_query_matches_oracle(spark, con, name):
-    assert difference(queries()[name](spark, SF_DIR), con, oracle_sql()[name]) is None
+    assert difference(REGISTERED[name](spark, SF_DIR), con, oracle()[name]) is None
 
 
 def test_entry(spark):

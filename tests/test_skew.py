@@ -44,9 +44,10 @@ def test_a_hot_key_is_cut_into_slices_of_bounded_size(tables):
 
 
 def test_the_list_of_hot_keys_is_bounded_and_the_rest_still_joins(tables, monkeypatch):
+    """With at most four slices of 1050 rows, a slice has 263: only one key is larger."""
     facts, keyed = tables
-    monkeypatch.setattr(skew, "MAX_HOT_KEYS", 1)
-    assert [r.key for r in hot_keys(count_keys(facts, "key"), "key", 5).collect()] == ["hot"]
+    monkeypatch.setattr(skew, "MAX_SLICES", 4)
+    assert [(r.key, r._slices) for r in hot_keys(count_keys(facts, "key"), "key", 5).collect()] == [("hot", 2)]
     assert sliced_join(facts, keyed, "key", "left", slice_rows=5).count() == facts.count()
 
 
