@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from importlib.resources.abc import Traversable
 from pathlib import Path
 
 import yaml
@@ -14,9 +15,9 @@ BLOCKED = "blocked"
 PERMITTED = (DOMESTIC, FLAGGED)
 
 
-def load_policy(path: str | Path) -> dict:
+def load_policy(path: str | Path | Traversable) -> dict:
     """Read a policy file. The verdict for unknown regions must not fail open."""
-    policy = yaml.safe_load(Path(path).read_text(encoding="utf-8")) or {}
+    policy = yaml.safe_load((Path(path) if isinstance(path, str) else path).read_text(encoding="utf-8")) or {}
     unknown = policy.get("on_unknown_region", BLOCKED)
     if unknown not in (BLOCKED, FLAGGED):
         raise ValueError(f"on_unknown_region must be {BLOCKED} or {FLAGGED}, not {unknown!r}")

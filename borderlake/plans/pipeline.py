@@ -1,22 +1,22 @@
 """The whole build: deliveries to bronze, silver and gold, with an audit entry.
 
-    spark-submit --py-files borderlake.zip -m borderlake.plans.pipeline ROOT CUSTOMERS TRANSACTIONS
+The script ``lakehouse.py`` at the top of the repository starts it.
 """
 
 from __future__ import annotations
 
 import logging
-import sys
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import datetime, timezone
 from functools import partial
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from borderlake.functions.mask import secret_key
 from borderlake.functions.residency import load_policy
-from borderlake.operators.contracts import GOVERNANCE, load_contracts, pii_inventory
+from borderlake.operators.contracts import GOVERNANCE, Folder, folder, load_contracts, pii_inventory
 from borderlake.operators.gold import build_gold, crossed
 from borderlake.operators.judge import judge, quarantine
 from borderlake.operators.silver import silver_customers, silver_transactions
@@ -27,38 +27,43 @@ from borderlake.sources.lake import Lake, side_by_side
 log = logging.getLogger(__name__)
 
 
-# One shuffle partition per this many input bytes, up to a number of partitions
-# whose bookkeeping the driver still handles.
+# One shuffle partition per this many input bytes.
 SHUFFLE_BYTES = 256 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 50_000
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
-def size_shuffles(spark: SparkSession, paths: list[str]) -> int | None:
+@contextmanager
+def sized_shuffles(spark: SparkSession, paths: list[str]) -> Iterator[int]:
     """Let shuffles start with partitions to suit the input, unless the session says how many.
 
     The default of 200 would leave each with terabytes on a large delivery.
-    Adaptive execution merges those that turn out small.
+    Adaptive execution merges those that turn out small. The setting holds for one
+    run. Gives the number of partitions shuffles start with.
     """
-    if spark.conf.get(INITIAL_PARTITIONS, None):
-        return None
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    own = spark.conf.get(INITIAL_PARTITIONS, None)
+    if own:
+        yield int(own)
+        return
     conf, size = spark._jsc.hadoopConfiguration(), 0
     for path in paths:
-        place = spark._jvm.org.apache.hadoop.fs.Path(path)
-        size += place.getFileSystem(conf).getContentSummary(place).getLength()
-    wanted = min(size // SHUFFLE_BYTES + 1, MAX_SHUFFLE_PARTITIONS)
-    if wanted <= int(spark.conf.get("spark.sql.shuffle.partitions")):
-        return None
+        pattern = spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = pattern.getFileSystem(conf)
+        size += sum(files.getContentSummary(found.getPath()).getLength() for found in files.globStatus(pattern) or [])
+    wanted = max(usual, size // SHUFFLE_BYTES + 1)
     spark.conf.set(INITIAL_PARTITIONS, str(wanted))
-    return wanted
+    try:
+        yield wanted
+    finally:
+        spark.conf.unset(INITIAL_PARTITIONS)
 
 
-def ingest(lake: Lake, deliveries: dict[str, str]) -> dict[str, int]:
+def ingest(lake: Lake, deliveries: dict[str, str], multi_line: bool = False) -> dict[str, int]:
     """Load each delivery into its bronze table; gives the row counts."""
     loaded_at = datetime.now(timezone.utc).isoformat()
 
     def load(name: str) -> int:
-        rows = read_csv(lake.spark, deliveries[name], loaded_at)
+        rows = read_csv(lake.spark, deliveries[name], loaded_at, multi_line)
         return lake.replace(rows, "bronze", name)[1]["rows"]
 
     return dict(zip(deliveries, side_by_side(lake.spark, [partial(load, name) for name in deliveries]), strict=True))
@@ -103,25 +108,22 @@ def transform(lake: Lake, contracts: dict[str, dict], policy: dict, key: str | N
     silver = {"customers": customers, "transactions": transactions, "pii_inventory": inventory}
     marts = build_gold(silver)
     side_by_side(lake.spark, [partial(lake.replace, mart, "gold", name) for name, mart in marts.items()])
+    for layer, name in lake.tables("staging"):  # raw personal data that nothing needs any more
+        lake.drop(layer, name)
     return details
 
 
 def run(
     lake: Lake,
     deliveries: dict[str, str],
-    governance: str | Path = GOVERNANCE,
+    governance: Folder = GOVERNANCE,
     key: str | None = None,
+    multi_line: bool = False,
 ) -> dict[str, int]:
     """Build everything from the deliveries. Running it again gives the same tables."""
     contracts = load_contracts(governance)
-    policy = load_policy(Path(governance) / "residency.yml")
+    policy = load_policy(folder(governance) / "residency.yml")
     secret_key(key)
-    size_shuffles(lake.spark, list(deliveries.values()))
-    log.info("ingested %s", ingest(lake, deliveries))
-    return transform(lake, contracts, policy, key)
-
-
-if __name__ == "__main__":
-    root, customers_csv, transactions_csv = sys.argv[1:4]
-    session = SparkSession.builder.appName("borderlake").getOrCreate()
-    run(Lake(session, root), {"customers": customers_csv, "transactions": transactions_csv})
+    with sized_shuffles(lake.spark, list(deliveries.values())):
+        log.info("ingested %s", ingest(lake, deliveries, multi_line))
+        return transform(lake, contracts, policy, key)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from urllib.parse import unquote
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -19,48 +17,37 @@ DIALECT = {
 }
 
 
-def files_by_layout(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
-    """The files of a delivery: (one record per line, records with line breaks).
-
-    A record that runs over its line leaves an odd number of quotes on its first
-    line. Only such a file must be read whole by one task; all others are split,
-    however large. The result has one entry per file, like Spark's own listing.
-    """
+def has_broken_lines(spark: SparkSession, path: str) -> bool:
+    """Does any record run over its line? It leaves an odd number of quotes on its first line."""
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    found = (
-        spark.read.text(path)
-        .groupBy(F.col("_metadata.file_path").alias("file"))
-        .agg(F.bool_or(quotes % 2 == 1).alias("broken"))
-        .orderBy("file")
-        .collect()
-    )
-    names = [(unquote(r.file), r.broken) for r in found]  # Spark gives the path as a URI
-    return [n for n, broken in names if not broken], [n for n, broken in names if broken]
+    return not spark.read.text(path).filter(quotes % 2 == 1).isEmpty()
 
 
-def read_csv(spark: SparkSession, path: str, loaded_at: str) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, loaded_at: str, multi_line: bool = False) -> DataFrame:
     """A delivery as text, just as it came, with two lineage columns.
 
     Empty fields are empty text and ``NA`` is ``NA``. A record with more fields
     than the header fails the load, because its values cannot be placed; a short
     one reads as empty at the end.
+
+    Files are split, however large, so a delivery whose quoted fields hold line
+    breaks must say so by ``multi_line``; each of its files is then read by one
+    task. A delivery that has them and does not say so is refused.
     """
+    if not multi_line and has_broken_lines(spark, path):
+        raise ValueError(f"{path}: quoted fields hold line breaks; load it with multi_line")
     names = spark.read.options(**DIALECT).csv(path).columns
+    if not names:
+        raise ValueError(f"no data under {path}")
     schema = StructType([StructField(n, StringType()) for n in [*names, CORRUPT]])
-    plain, broken = files_by_layout(spark, path)
-    parts = [
+    rows = (
         spark.read.options(
-            **DIALECT, multiLine=multi, enforceSchema=False, columnPruning=False, columnNameOfCorruptRecord=CORRUPT
+            **DIALECT, multiLine=multi_line, enforceSchema=False, columnPruning=False, columnNameOfCorruptRecord=CORRUPT
         )
         .schema(schema)
-        .csv(files)
+        .csv(path)
         .withColumn("_source_file", F.col("_metadata.file_name"))
-        for files, multi in ((plain, False), (broken, True))
-        if files
-    ]
-    if not parts:
-        raise ValueError(f"no data under {path}")
-    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    )
     unquoted = F.regexp_replace(F.col(CORRUPT), r'"([^"]|"")*"', "")
     fields = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","), F.lit(""))) + 1
     message = F.concat(F.lit(f"record with more than {len(names)} fields in "), F.col("_source_file"))

@@ -18,17 +18,9 @@ LAYERS = ("bronze", "staging", "silver", "gold", "ops")
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder all executors can reach, under ``spark.checkpoint.dir``.
-
-    Only a local session may do without that setting.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        import tempfile
-
-        base = tempfile.mkdtemp(prefix="borderlake-")
+    """A fresh folder all executors can reach: under ``spark.checkpoint.dir`` or, where
+    that is unset, under the warehouse."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{base.rstrip('/')}/{name}-{run_id()}"
 
 
@@ -50,8 +42,8 @@ class Lake:
 
     ``replace`` writes a full new version beside the current one and then points
     the catalog at it: a failed build leaves the old table in place, and a build
-    may read the table it replaces. The version before stays for readers still
-    at it; older ones are deleted. Raw personal data is in bronze and staging
+    may read the table it replaces. The complete version before stays for readers
+    still at it; older and broken ones are deleted. Raw personal data is in bronze and staging
     only, which are never published.
     """
 
@@ -86,8 +78,8 @@ class Lake:
         path = f"{self.root}/{layer}/{table}/{run_id()}"
         observed = frame.observe(seen, F.count("*").alias("rows"), *[c.alias(n) for n, c in counts.items()])
         observed.write.partitionBy(*partition_by).parquet(path)
-        self._point(layer, table, path, None if partition_by else frame.schema)
-        self._forget_old_versions(layer, table)
+        self._point(layer, table, path, frame.schema, partition_by)
+        self._forget_old_versions(layer, table, path)
         return self.table(layer, table), seen.get
 
     def append(self, frame: DataFrame, layer: str, table: str) -> None:
@@ -95,6 +87,11 @@ class Lake:
         frame.write.mode("append").parquet(path)
         self._point(layer, table, path, frame.schema)
 
+    def drop(self, layer: str, table: str) -> None:
+        """Forget a table and delete its files."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, table)}")
+        self._delete(f"{self.root}/{layer}/{table}")
+
     def attach(self) -> None:
         """Register the latest complete version of every table, for a new session."""
         for layer in LAYERS:
@@ -103,22 +100,58 @@ class Lake:
                 if versions or self._exists(f"{folder}/_SUCCESS"):
                     self._point(layer, folder.rsplit("/", 1)[1], versions[-1] if versions else folder)
 
-    def _point(self, layer: str, table: str, path: str, schema: StructType | None = None) -> None:
+    def _point(
+        self, layer: str, table: str, path: str, schema: StructType | None = None, partition_by: tuple[str, ...] = ()
+    ) -> None:
         """Make the catalog show a folder as the table. Without a schema Spark
-        reads it, and any partitions, from the folder."""
+        reads it, and any partitions, from the folder.
+
+        A table whose columns stay is moved, not made anew, so readers always find it."""
         name = self.name(layer, table)
+        if schema is not None and self._columns(name) == [
+            (f.name, f.dataType) for f in sorted(schema.fields, key=lambda f: f.name in partition_by)
+        ]:
+            self._move(name, path, bool(partition_by))
+            return
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        if schema is None:
+        if schema is None or partition_by:
             self.spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
             if any("=" in f.rsplit("/", 1)[1] for f in self._folders(path)):
                 self.spark.catalog.recoverPartitions(name)
         else:
             self.spark.catalog.createTable(name, path, "parquet", schema)
 
-    def _forget_old_versions(self, layer: str, table: str, keep: int = 2) -> None:
-        for old in self._folders(f"{self.root}/{layer}/{table}")[:-keep]:
-            path = self._path(old)
-            path.getFileSystem(self._conf()).delete(path, True)
+    def _columns(self, name: str) -> list | None:
+        if not self.spark.catalog.tableExists(name):
+            return None
+        return [(f.name, f.dataType) for f in self.spark.table(name).schema.fields]
+
+    def _move(self, name: str, path: str, partitioned: bool) -> None:
+        """Point a table, partition by partition, at another folder."""
+        if partitioned:
+            found = {tuple(f.rsplit("/", 1)[1].split("=", 1)): f for f in self._folders(path)}
+            known = {tuple(r[0].split("=", 1)) for r in self.spark.sql(f"SHOW PARTITIONS {name}").collect()}
+            for (column, value), folder in found.items():
+                part = f"PARTITION ({column} = '{value}')"
+                if (column, value) in known:
+                    self.spark.sql(f"ALTER TABLE {name} {part} SET LOCATION '{folder}'")
+                else:
+                    self.spark.sql(f"ALTER TABLE {name} ADD {part} LOCATION '{folder}'")
+            for column, value in known - found.keys():
+                self.spark.sql(f"ALTER TABLE {name} DROP PARTITION ({column} = '{value}')")
+        self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+        self.spark.catalog.refreshTable(name)
+
+    def _forget_old_versions(self, layer: str, table: str, current: str, keep: int = 2) -> None:
+        """Delete complete versions but the last ones, and what failed builds left before this one."""
+        older = [v for v in self._folders(f"{self.root}/{layer}/{table}") if v.rsplit("/", 1)[1] <= current.rsplit("/", 1)[1]]
+        complete = [v for v in older if self._exists(f"{v}/_SUCCESS")]
+        for old in set(older) - set(complete[-keep:]):
+            self._delete(old)
+
+    def _delete(self, folder: str) -> None:
+        path = self._path(folder)
+        path.getFileSystem(self._conf()).delete(path, True)
 
     def _folders(self, parent: str) -> list[str]:
         path = self._path(parent)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from borderlake.sources.lake import Lake
+from borderlake.sources.lake import Lake, side_by_side
 
 # Raw personal data lives in bronze and staging; those are never published.
 PUBLISHED_LAYERS = ("silver", "gold")
@@ -28,14 +30,16 @@ def plain_types(table: DataFrame) -> DataFrame:
 
 def publish(lake: Lake, target: str) -> DataFrame:
     """Write every silver and gold table under ``target`` and describe them in ``tables.json``."""
-    entries = []
-    for layer, table in lake.tables(*PUBLISHED_LAYERS):
+
+    def write(layer: str, table: str) -> tuple:
         frame = plain_types(lake.table(layer, table))
         file = f"{layer}.{table}.parquet"
         seen = Observation()
         frame.observe(seen, F.count("*").alias("rows")).write.mode("overwrite").parquet(f"{target}/{file}")
         columns = [(f.name, f.dataType.simpleString()) for f in frame.schema.fields]
-        entries.append((layer, table, file, seen.get["rows"], columns))
+        return layer, table, file, seen.get["rows"], columns
+
+    entries = side_by_side(lake.spark, [partial(write, *found) for found in lake.tables(*PUBLISHED_LAYERS)])
     manifest = lake.spark.createDataFrame(entries, MANIFEST)
     manifest.coalesce(1).write.mode("overwrite").json(f"{target}/tables.json")
     return manifest

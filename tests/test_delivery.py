@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from borderlake.operators.set_checks import collapse_copies
-from borderlake.sources.delivery import files_by_layout, read_csv, write_csv
+from borderlake.sources.delivery import read_csv, write_csv
 from borderlake.sources.lake import Lake, shared_folder
 from borderlake.sources.publish import open_published, publish, table_catalog
 
@@ -31,12 +31,11 @@ def test_text_comes_in_as_it_is(spark, tmp_path):
     assert all(t == "string" for _, t in found.dtypes)
 
 
-def test_only_files_with_line_breaks_in_fields_are_read_whole(spark, tmp_path):
+def test_line_breaks_in_fields_must_be_declared(spark, tmp_path):
     path = deliver(tmp_path / "d", plain="id,t\n1,a\n2,b\n", broken='id,t\n3,"two\nlines"\n4,c\n')
-    plain, broken = files_by_layout(spark, path)
-    assert [f.rsplit("/", 1)[1] for f in plain] == ["plain.csv"]
-    assert [f.rsplit("/", 1)[1] for f in broken] == ["broken.csv"]
-    found = {(r.id, r.t, r._source_file) for r in read_csv(spark, path, AT).collect()}
+    with pytest.raises(ValueError, match="multi_line"):
+        read_csv(spark, path, AT)
+    found = {(r.id, r.t, r._source_file) for r in read_csv(spark, path, AT, multi_line=True).collect()}
     assert found == {
         ("1", "a", "plain.csv"), ("2", "b", "plain.csv"), ("3", "two\nlines", "broken.csv"), ("4", "c", "broken.csv"),
     }
@@ -60,7 +59,7 @@ def test_written_deliveries_read_back(spark, tmp_path):
     rows = [("1", "", " a "), ("2", "x,y", 'q"q'), ("3", "line\nbreak", "é")]
     frame = spark.createDataFrame(rows, "id string, a string, b string")
     write_csv(frame, ["id", "b", "a"], f"{tmp_path}/out.csv")
-    found = read_csv(spark, f"{tmp_path}/out.csv", AT)
+    found = read_csv(spark, f"{tmp_path}/out.csv", AT, multi_line=True)
     assert found.columns[:3] == ["id", "b", "a"]
     assert sorted((r.id, r.a, r.b) for r in found.collect()) == rows
 
@@ -90,6 +89,52 @@ def test_a_failed_build_leaves_the_old_table(spark, lake):
     assert lake.table("gold", "x").count() == 3
 
 
+def test_a_failed_build_keeps_the_version_before_and_goes_itself(spark, lake):
+    for n in (1, 2):
+        lake.replace(spark.range(n), "gold", "x")
+    good = lake._folders(f"{lake.root}/gold/x")
+    with pytest.raises(Exception):
+        lake.replace(spark.range(9).select(F.raise_error(F.lit("no")).cast("long").alias("id")), "gold", "x")
+    assert len(lake._folders(f"{lake.root}/gold/x")) == 3
+    lake.replace(spark.range(4), "gold", "x")
+    left = lake._folders(f"{lake.root}/gold/x")
+    assert len(left) == 2 and left[0] == good[1] and lake.table("gold", "x").count() == 4
+
+
+def test_readers_always_find_the_table(spark, lake):
+    import threading
+
+    frame = spark.createDataFrame([("a", 1), ("b", 2)], "dataset string, n int")
+    lake.replace(frame, "silver", "q", partition_by=("dataset",))
+    lake.replace(spark.range(3), "silver", "x")
+    seen, done = [], threading.Event()
+
+    def read():
+        while not done.is_set():
+            try:
+                seen.append((lake.table("silver", "x").schema.names, spark.catalog.tableExists(lake.name("silver", "q"))))
+            except Exception as error:  # noqa: BLE001
+                seen.append(error)
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    for n in range(4):
+        lake.replace(spark.range(3 + n), "silver", "x")
+        lake.replace(frame.withColumn("n", F.col("n") + n), "silver", "q", partition_by=("dataset",))
+    done.set()
+    reader.join()
+    assert seen and all(s == (["id"], True) for s in seen)
+    assert lake.table("silver", "x").count() == 6
+    assert sorted(map(tuple, lake.table("silver", "q").select("dataset", "n").collect())) == [("a", 4), ("b", 5)]
+
+
+def test_a_partition_may_go_and_come(spark, lake):
+    frame = spark.createDataFrame([("a", 1), ("b", 2)], "dataset string, n int")
+    for rows in (frame, frame.filter("n = 1"), frame.withColumn("n", F.lit(7))):
+        lake.replace(rows, "silver", "q", partition_by=("dataset",))
+        assert sorted(map(tuple, lake.table("silver", "q").select("dataset", "n").collect())) == sorted(map(tuple, rows.collect()))
+
+
 def test_partitions_old_versions_and_a_new_session(spark, lake):
     frame = spark.createDataFrame([("a", 1), ("b", 2)], "dataset string, n int")
     for _ in range(4):

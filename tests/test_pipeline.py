@@ -139,22 +139,62 @@ def test_the_build_needs_a_key(lake, monkeypatch):
         run(lake, {})
 
 
-def test_shuffles_grow_with_the_input(spark, lake, monkeypatch):
-    paths = list(lake.deliveries.values())
-    assert pipeline.size_shuffles(spark, paths) is None
+def test_shuffles_grow_with_the_input_of_each_run(spark, lake, monkeypatch):
+    paths = [path.replace("customers", "c*") for path in lake.deliveries.values()]
+    with pipeline.sized_shuffles(spark, paths) as usual:
+        assert usual == 4
     monkeypatch.setattr(pipeline, "SHUFFLE_BYTES", 1000)
+    with pipeline.sized_shuffles(spark, paths) as many:
+        assert many > 50 and spark.conf.get(pipeline.INITIAL_PARTITIONS) == str(many)
+    with pipeline.sized_shuffles(spark, paths[:1]) as fewer:
+        assert usual < fewer < many
+    assert spark.conf.get(pipeline.INITIAL_PARTITIONS, None) is None
+    spark.conf.set(pipeline.INITIAL_PARTITIONS, "9")
     try:
-        assert pipeline.size_shuffles(spark, paths) > 50
-        assert pipeline.size_shuffles(spark, paths) is None
-    finally:
-        spark.conf.unset(pipeline.INITIAL_PARTITIONS)
-    monkeypatch.setattr(pipeline, "MAX_SHUFFLE_PARTITIONS", 7)
-    try:
-        assert pipeline.size_shuffles(spark, paths) == 7
+        with pipeline.sized_shuffles(spark, paths) as own:
+            assert own == 9
+        assert spark.conf.get(pipeline.INITIAL_PARTITIONS) == "9"
     finally:
         spark.conf.unset(pipeline.INITIAL_PARTITIONS)
 
 
+def test_no_raw_data_stays_in_staging(lake):
+    assert lake.tables("staging") == [] and lake._folders(f"{lake.root}/staging") == []
+
+
+def test_the_script_runs_from_a_zip(tmp_path):
+    """Generate, build and publish in sessions of their own, with the package in a zip."""
+    import os
+    import shutil
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    top = Path(__file__).resolve().parents[1]
+    (tmp_path / "src").mkdir()
+    skip = shutil.ignore_patterns("__pycache__", "llm")
+    shutil.copytree(top / "borderlake", tmp_path / "src/borderlake", ignore=skip)
+    package = shutil.make_archive(str(tmp_path / "borderlake"), "zip", tmp_path / "src")
+    shutil.copy(top / "lakehouse.py", tmp_path / "lakehouse.py")
+    options = "--master local[2] --conf spark.ui.enabled=false --conf spark.sql.shuffle.partitions=2"
+    env = {**os.environ, "TOKENIZATION_KEY": KEY, "PYTHONPATH": package, "PYSPARK_SUBMIT_ARGS": f"{options} pyspark-shell"}
+
+    def start(*words):
+        command = [sys.executable, str(tmp_path / "lakehouse.py"), *words]
+        return subprocess.run(command, cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300, check=True).stdout
+
+    start("generate", f"{tmp_path}/in", "--transactions", "300", "--customers", "40", "--crossings", "12")
+    governance = shutil.copytree(top / "borderlake/governance", tmp_path / "rules")
+    out = start("build", f"{tmp_path}/lake", f"{tmp_path}/in/customers.csv", f"{tmp_path}/in/transactions.csv")
+    again = start(
+        "build", f"{tmp_path}/lake", f"{tmp_path}/in/customers.csv", f"{tmp_path}/in/transactions.csv", "--governance", str(governance)
+    )
+    assert "'silver_customers': 36" in out and "'silver_customers': 36" in again
+    start("publish", f"{tmp_path}/lake", f"{tmp_path}/site")
+    assert (tmp_path / "site/tables.json").exists() and (tmp_path / "site/gold.cross_border_transfer_report.parquet").exists()
+    assert '\\"settings\\"' in "".join(p.read_text() for p in (tmp_path / "site/payload.json").glob("*.json")).replace('"settings"', '\\"settings\\"')
+
+
 def build(spark, tables):
     contracts, policy = load_contracts(), load_policy(GOVERNANCE / "residency.yml")
     judged = judge(tables, contracts)
