@@ -83,15 +83,19 @@ def judge(
     rows = keep({f"{name}_rows": distinct_rows(bronze[name], contracts[name]) for name in names})
     conflicts = keep({f"{name}_conflicts": conflicting_keys(rows[f"{name}_rows"], keys[name]) for name in names})
     marked = {name: mark_conflicts(rows[f"{name}_rows"], conflicts[f"{name}_conflicts"], keys[name]) for name in names}
-    standing = keep({"customer_standing": customer_standing(marked["customers"])})["customer_standing"]
-    # One customer may own a large part of all transactions, hence the slices.
-    # Counting them on the raw rows overestimates at most and needs one column.
-    owners = normalise_keys(bronze["transactions"].select("customer_id"), contracts["transactions"])
+    customers = keep({"customers_judged": marked["customers"]})["customers_judged"]
+    # One customer may own a large part of all transactions, hence the slices;
+    # they are counted in one column of the rows stored above.
+    found = keep(
+        {
+            "customer_standing": customer_standing(customers),
+            "customer_owners": count_keys(rows["transactions_rows"], "customer_id"),
+        }
+    )
     transactions = sliced_join(
-        marked["transactions"], standing, "customer_id", "left", count_keys(owners, "customer_id")
+        marked["transactions"], found["customer_standing"], "customer_id", "left", found["customer_owners"]
     )
-    stored = keep({"transactions_judged": transactions})
-    return {"customers": marked["customers"], "transactions": stored["transactions_judged"]}
+    return {"customers": customers, "transactions": keep({"transactions_judged": transactions})["transactions_judged"]}
 
 
 def _region() -> Column:

@@ -8,10 +8,12 @@ quarantine, windows, distinct counts); each query selects from it.
 from __future__ import annotations
 
 import hashlib
+import json
 
 from borderlake.sources.synthetic import (
     BROKEN_AMOUNT,
     BROKEN_PROVINCE,
+    CUSTOMER_FIELDS,
     FIRST_NAMES,
     FOREIGN_REGIONS,
     LAST_NAMES,
@@ -21,6 +23,7 @@ from borderlake.sources.synthetic import (
     PHONE_PREFIXES,
     PROVINCES,
     SEED,
+    TRANSACTION_FIELDS,
     UNKNOWN_CUSTOMER,
 )
 from borderlake.verification.derived import CHECK_KEY
@@ -457,9 +460,24 @@ def _counts(*layers: str, label: str = "table_name", name: str = "{table}", extr
     )
 
 
+def _contents(*layers: str, label: str = "table_name", name: str = "{table}") -> str:
+    """Rows of stored tables and an order-free sum over their contents."""
+
+    def select(layer: str, table: str, source: str) -> str:
+        columns = sorted(c.split(":") for c in _COLUMNS[f"{layer}.{table}"] if c not in _LINEAGE_TYPES)
+        texts = [f"CAST({c} AS DECIMAL(38,2))" if kind == "double" else c for c, kind in columns]
+        texts = ", ".join(f"coalesce(CAST({t} AS VARCHAR), '')" for t in texts)
+        return (
+            f"SELECT '{name.format(layer=layer, table=table)}' AS {label}, count(*) AS row_count, CAST(sum(CAST('0x' || "
+            f"substr(md5(concat_ws('|', {texts})), 1, 15) AS BIGINT)) % 1000000000000000 AS BIGINT) AS content_sum FROM {source}"
+        )
+
+    return " UNION ALL ".join(select(layer, *found) for layer in layers for found in _TABLES[layer].items())
+
+
 def _manifest() -> str:
     return " UNION ALL ".join(
-        f"SELECT '{layer}' AS table_schema, '{table}' AS table_name, count(*) AS row_count, "
+        f"SELECT '{layer}' AS table_schema, '{table}' AS table_name, '{layer}.{table}.parquet' AS file, count(*) AS row_count, "
         f"'{','.join(_COLUMNS[f'{layer}.{table}'])}' AS column_list FROM {source}"
         for layer in ("silver", "gold")
         for table, source in _TABLES[layer].items()
@@ -593,6 +611,10 @@ def _typed(table: str, columns: dict[str, str]) -> str:
     )
 
 
+def _types(table: str) -> dict[str, str]:
+    return dict(c.split(":") for c in _COLUMNS[table] if c not in _LINEAGE_TYPES)
+
+
 def _leak(column: str, strategy: str, present: bool) -> str:
     leaks = (
         f"(SELECT count(*) FROM silver_customers s JOIN (SELECT DISTINCT * FROM bronze_customers) b "
@@ -619,13 +641,24 @@ _SUBJECT_FIELDS = (
     "region_count", "transfer_count", "page", "stamps",
 )
 
+_SETTINGS = json.dumps(
+    {
+        "home_region": "af-south-1",
+        "flagged_regions": ["eu-west-1", "us-east-1"],
+        "region_names": {"af-south-1": "Cape Town", "eu-west-1": "Ireland", "us-east-1": "N. Virginia"},
+    }
+)
+
 _FROM_CHAIN = {
     # sources and sinks
-    "ingest_bronze": "SELECT *, true AS _source_file FROM bronze_transactions",
+    "ingest_bronze": " UNION ALL ".join(
+        f"SELECT '{name}' AS dataset, concat_ws('|', {', '.join(fields)}) AS record, true AS has_lineage FROM bronze_{name}"
+        for name, fields in (("customers", CUSTOMER_FIELDS), ("transactions", TRANSACTION_FIELDS))
+    ),
     "ingest_counts": _counts("bronze", label="dataset"),
-    "publish_layer": _SUMMARY,
+    "publish_layer": _contents("silver", "gold", name="{layer}.{table}"),
     "publish_manifest": _manifest(),
-    "published_views": _counts("silver", "gold", label="view_name", name="{layer}_{table}"),
+    "published_views": _contents("silver", "gold", label="view_name", name="{layer}_{table}"),
     # contract rules
     "validate_customers": "SELECT * FROM row_violations WHERE dataset = 'customers'",
     "validate_transactions": "SELECT * FROM row_violations WHERE dataset = 'transactions'",
@@ -649,9 +682,11 @@ _FROM_CHAIN = {
     "mask_partial": "SELECT customer_id, right(nullif(phone, ''), 3) AS phone FROM clean_customers",
     "pii_inventory": "SELECT i.*, h.values_held FROM inventory i LEFT JOIN held h USING (column_name)",
     "classify_transfer": (
-        "SELECT t.transaction_id, c.home_region, t.processing_region, "
-        f"{_verdict('c.home_region', 't.processing_region')} AS verdict FROM clean_transactions t "
-        "LEFT JOIN (SELECT customer_id, min(home_region) AS home_region FROM clean_customers GROUP BY 1) c "
+        "SELECT t.transaction_id, c.home_region, c.other_home, t.processing_region, "
+        f"{_verdict('c.home_region', 't.processing_region')} AS verdict, "
+        f"{_verdict('c.other_home', 't.processing_region')} AS other_verdict FROM clean_transactions t "
+        "LEFT JOIN (SELECT customer_id, min(home_region) AS home_region, max(home_region) AS other_home "
+        "FROM clean_customers GROUP BY 1) c "
         "ON c.customer_id = t.customer_id"
     ),
     "audit_build_silver": (
@@ -666,10 +701,11 @@ _FROM_CHAIN = {
     "residency_blocked": "SELECT * FROM blocked_reasons",
     "quarantine": "SELECT * FROM quarantine",
     "dedupe_exact": "SELECT DISTINCT * FROM bronze_transactions",
+    "dedupe_customers": "SELECT DISTINCT * FROM bronze_customers",
     "silver_customers": _CUSTOMERS,
     "silver_transactions": _TRANSACTIONS,
-    "build_silver": _counts("silver"),
-    "build_gold": _counts("gold"),
+    "build_silver": _contents("silver"),
+    "build_gold": _contents("gold"),
     # marts
     "daily_revenue_by_province": _DAILY,
     "customer_transaction_summary": _SUMMARY,
@@ -707,7 +743,8 @@ _FROM_CHAIN = {
         "SELECT CAST(sum(transfer_count) AS BIGINT) AS transfers, CAST(sum(amount_zar) AS DECIMAL(38,2)) AS amount_zar, "
         "count(DISTINCT transfer_month) AS months, (SELECT count(*) FROM crossings) AS subjects, "
         "(SELECT count(*) FROM quarantine WHERE rule = 'residency_blocked') AS blocked FROM report) "
-        f"UNION ALL SELECT 'pii', {_json('column_name', 'mask_strategy')} FROM inventory"
+        f"UNION ALL SELECT 'pii', {_json('column_name', 'mask_strategy')} FROM inventory "
+        f"UNION ALL SELECT 'settings', '{_SETTINGS}'"
     ),
     "region_names": (
         "SELECT processing_region, count(*) AS n, CASE processing_region WHEN 'af-south-1' THEN 'Cape Town' "
@@ -746,17 +783,9 @@ _FROM_CHAIN = {
         "SELECT count(*) AS dangling FROM silver_transactions t ANTI JOIN silver_customers c USING (customer_id)"
     ),
     "silver_typed": (
-        _typed("customers", {"customer_id": "string", "province": "string", "signup_date": "date"})
+        _typed("customers", _types("silver.customers"))
         + " UNION ALL "
-        + _typed(
-            "transactions",
-            {
-                "transaction_id": "string",
-                "amount_zar": "decimal(12,2)",
-                "txn_timestamp": "timestamp_ntz",
-                "residency_status": "string",
-            },
-        )
+        + _typed("transactions", {**_types("silver.transactions"), "amount_zar": "decimal(12,2)"})
     ),
     "pii_leak": " UNION ALL ".join(
         [

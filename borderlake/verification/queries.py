@@ -6,15 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DateType, DecimalType, TimestampNTZType
+from pyspark.sql.types import ArrayType, DateType, DecimalType, DoubleType, TimestampNTZType
 
 from borderlake.functions.mask import mask
 from borderlake.functions.residency import classify_transfer
 from borderlake.functions.text import cell
 from borderlake.operators import assurance, gold, reports
-from borderlake.operators.contracts import normalise_keys, validate
+from borderlake.operators.contracts import LINEAGE, normalise_keys, validate
 from borderlake.operators.judge import (
     HOME,
+    OTHER_HOME,
     contract_violations,
     judge,
     parent_quarantined,
@@ -82,25 +83,44 @@ def query(fn: Callable[[Staged], DataFrame]) -> Callable[[Staged], DataFrame]:
 # --- sources and sinks -------------------------------------------------------------
 
 
+def checksum(name: str, table: DataFrame, label: str = "table_name") -> DataFrame:
+    """Rows of a table and an order-free sum over their contents, lineage left out."""
+
+    def text(field) -> F.Column:
+        kind = "decimal(38,2)" if isinstance(field.dataType, (DecimalType, DoubleType)) else "string"
+        return F.coalesce(F.col(field.name).cast(kind).cast("string"), F.lit(""))
+
+    fields = sorted((f for f in table.schema.fields if f.name not in LINEAGE), key=lambda f: f.name)
+    digest = F.substring(F.md5(F.concat_ws("|", *[text(f) for f in fields])), 1, 15)
+    total = F.sum(F.conv(digest, 16, 10).cast("decimal(38,0)")) % 1_000_000_000_000_000
+    rows = F.count("*").alias("row_count")
+    return table.agg(rows, total.cast("bigint").alias("content_sum")).select(F.lit(name).alias(label), "*")
+
+
 @query
 def ingest_bronze(s: Staged) -> DataFrame:
-    """CSV out, CSV in; the load time is left out, the file name only checked for."""
-    path = s.csv_delivery()["transactions"]
-    rows = read_csv(s.spark, path, LOADED_AT)
-    return rows.withColumn("_source_file", F.col("_source_file").endswith(".csv")).drop("_ingested_at")
+    """CSV out, CSV in: every record as one text, and whether its lineage is there."""
+    parts = []
+    for name, path in s.new_delivery().items():
+        rows = read_csv(s.spark, path, LOADED_AT)
+        record = F.concat_ws("|", *[c for c in rows.columns if c not in LINEAGE])
+        lineage = F.col("_source_file").endswith(".csv") & (F.col("_ingested_at") == LOADED_AT)
+        parts.append(rows.select(F.lit(name).alias("dataset"), record.alias("record"), lineage.alias("has_lineage")))
+    return union(parts)
 
 
 @query
 def ingest_counts(s: Staged) -> DataFrame:
-    counts = ingest(s.new_lake(), s.csv_delivery())
+    counts = ingest(s.new_lake(), s.new_delivery())
     return s.spark.createDataFrame(sorted(counts.items()), "dataset string, row_count bigint")
 
 
 @query
 def publish_layer(s: Staged) -> DataFrame:
+    """Contents of every published file."""
     target = shared_folder(s.spark, "published")
-    publish(s.lake, target)
-    return s.spark.read.parquet(f"{target}/gold.customer_transaction_summary.parquet")
+    files = [(f"{r.schema}.{r.table}", r.file) for r in publish(s.lake, target).collect()]
+    return union([checksum(name, s.spark.read.parquet(f"{target}/{file}")) for name, file in files])
 
 
 @query
@@ -110,6 +130,7 @@ def publish_manifest(s: Staged) -> DataFrame:
     return manifest.select(
         F.col("schema").alias("table_schema"),
         F.col("table").alias("table_name"),
+        "file",
         F.col("rows").alias("row_count"),
         F.array_join(names, ",").alias("column_list"),
     )
@@ -119,10 +140,7 @@ def publish_manifest(s: Staged) -> DataFrame:
 def published_views(s: Staged) -> DataFrame:
     target = shared_folder(s.spark, "published")
     publish(s.lake, target)
-    views = open_published(s.spark, target)
-    return union(
-        [v.agg(F.count("*").alias("row_count")).select(F.lit(n).alias("view_name"), "*") for n, v in views.items()]
-    )
+    return union([checksum(name, view, "view_name") for name, view in open_published(s.spark, target).items()])
 
 
 def _ids(s: Staged, table: str, key: str) -> DataFrame:
@@ -305,8 +323,10 @@ def classify_transfer_(s: Staged) -> DataFrame:
     return s.judged["transactions"].select(
         "transaction_id",
         F.col(HOME).alias("home_region"),
+        F.col(OTHER_HOME).alias("other_home"),
         region,
         classify_transfer(F.col(HOME), region, s.policy).alias("verdict"),
+        classify_transfer(F.col(OTHER_HOME), region, s.policy).alias("other_verdict"),
     )
 
 
@@ -346,6 +366,11 @@ def dedupe_exact(s: Staged) -> DataFrame:
     return collapse_copies(s.bronze["transactions"])
 
 
+@query
+def dedupe_customers(s: Staged) -> DataFrame:
+    return collapse_copies(s.bronze["customers"])
+
+
 @query
 def silver_customers(s: Staged) -> DataFrame:
     return s.customers
@@ -358,29 +383,23 @@ def silver_transactions(s: Staged) -> DataFrame:
 
 @query
 def build_silver(s: Staged) -> DataFrame:
-    """The whole build from CSV, anew; row counts of the silver tables."""
-    lake, csv = s.new_lake(), s.csv_delivery()
-    ingest(lake, csv)
+    """The whole build from CSV, anew; contents of the silver tables."""
+    lake = s.new_lake()
+    ingest(lake, s.new_delivery())
     transform(lake, s.contracts, s.policy, s.key)
-    return union(
-        [
-            lake.table(layer, name).agg(F.count("*").alias("row_count")).select(F.lit(name).alias("table_name"), "*")
-            for layer, name in lake.tables("silver")
-        ]
-    )
+    return union([checksum(name, lake.table(layer, name)) for layer, name in lake.tables("silver")])
 
 
 @query
 def build_gold(s: Staged) -> DataFrame:
-    """The marts from the stored silver tables, stored in turn; their row counts."""
+    """The marts from the stored silver tables, stored in turn; their contents."""
     silver = {name: s.lake.table("silver", name) for name in ("customers", "transactions", "pii_inventory")}
     folder = shared_folder(s.spark, "marts")
-    counts = []
+    found = []
     for name, mart in gold.build_gold(silver).items():
         mart.write.parquet(f"{folder}/{name}")
-        stored = s.spark.read.parquet(f"{folder}/{name}")
-        counts.append(stored.agg(F.count("*").alias("row_count")).select(F.lit(name).alias("table_name"), "*"))
-    return union(counts)
+        found.append(checksum(name, s.spark.read.parquet(f"{folder}/{name}")))
+    return union(found)
 
 
 # --- marts ---------------------------------------------------------------------------------
@@ -470,7 +489,7 @@ def customer_pii(s: Staged) -> DataFrame:
 def subject_json(s: Staged) -> DataFrame:
     return reports.view_payload(
         s.spark, s.customers, s.transactions, _report(s), s.quarantine, s.inventory, s.policy, PAGE
-    ).filter("part <> 'settings'")
+    )
 
 
 @query
@@ -544,10 +563,8 @@ def silver_ref_integrity(s: Staged) -> DataFrame:
 def silver_typed(s: Staged) -> DataFrame:
     return union(
         [
-            assurance.typed_columns(s.customers, "customers", ["customer_id", "province", "signup_date"]),
-            assurance.typed_columns(
-                s.transactions, "transactions", ["transaction_id", "amount_zar", "txn_timestamp", "residency_status"]
-            ),
+            assurance.typed_columns(table, name, [c for c in table.columns if c not in LINEAGE])
+            for name, table in (("customers", s.customers), ("transactions", s.transactions))
         ]
     )
 
@@ -579,18 +596,17 @@ def recon_cross_border(s: Staged) -> DataFrame:
 
 @query
 def table_fingerprint(s: Staged) -> DataFrame:
-    """Build again over a finished lake; no table may change."""
-    lake = s.lake
+    """Build twice into a lake of its own; no table may change."""
+    lake, csv = s.new_lake(), s.new_delivery()
 
     def prints() -> dict:
+        ingest(lake, csv)
+        transform(lake, s.contracts, s.policy, s.key)
         tables = lake.tables("bronze", "silver", "gold")
         rows = union([assurance.fingerprint(lake.table(*t), ".".join(t)) for t in tables]).collect()
         return {r["table_name"]: (r["row_count"], r["digest"]) for r in rows}
 
-    before = prints()
-    ingest(lake, s.csv_delivery(fresh=False))
-    transform(lake, s.contracts, s.policy, s.key)
-    after = prints()
+    before, after = prints(), prints()
     rows = [(name, seen[0], after.get(name) == seen) for name, seen in before.items()]
     return s.spark.createDataFrame(rows, "table_name string, row_count bigint, unchanged boolean")
 

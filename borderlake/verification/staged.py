@@ -53,12 +53,11 @@ class Staged:
     def judged(self) -> dict[str, DataFrame]:
         def make() -> dict:
             folder = shared_folder(self.spark, "judged")
-            judged = judge(self.bronze, self.contracts, lambda frames: self._store(folder, frames))
-            self._store(folder, judged)
+            judge(self.bronze, self.contracts, lambda frames: self._store(folder, frames))
             return {"folder": folder}
 
         folder = self._once("judged", make)["folder"]
-        return {name: self.spark.read.parquet(f"{folder}/{name}") for name in self.contracts}
+        return {name: self.spark.read.parquet(f"{folder}/{name}_judged") for name in self.contracts}
 
     @property
     def lake(self) -> Lake:
@@ -69,14 +68,10 @@ class Staged:
             lake, csv = self.new_lake(), self.new_delivery()
             ingest(lake, csv)
             transform(lake, self.contracts, self.policy, self.key)
-            return {"folder": lake.root, "lake": lake, "csv": csv}
+            return {"folder": lake.root, "lake": lake}
 
         return self._once("lake", build)
 
-    def csv_delivery(self, fresh: bool = True) -> dict[str, str]:
-        """The deliveries as CSV: written now, or those the lake was built from."""
-        return self.new_delivery() if fresh else self._lake()["csv"]
-
     # --- derived from them, not stored --------------------------------------------
 
     @property
