@@ -7,11 +7,15 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Name of the row id that operators add to their input.
 ROW = "_llm_row"
+#: Row ids hold the number of their partition above this bit.
+PART_BIT = 33
 #: Bytes of text handled at a time inside a Python task.
 SLICE_BYTES = 8 << 20
 
@@ -71,6 +75,34 @@ def drop_rows(docs: DataFrame, rows: DataFrame) -> DataFrame:
     return with_row_ids(docs).join(rows.select(ROW), ROW, "left_anti").drop(ROW)
 
 
+def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
+    """The file system and path of a folder or file, for tasks."""
+    if uri.startswith("file:/") and not uri.startswith("file://"):
+        uri = "file://" + uri[5:]
+    return pafs.FileSystem.from_uri(uri)
+
+
+def by_part(rows: DataFrame, label: str, *order: str) -> str:
+    """Store rows with a row id by the partition of the documents they belong to; the folder.
+
+    A later scan of the documents reads what it needs with ``read_part``, so that texts need
+    no shuffle to meet what was found out about them."""
+    folder = new_path(rows.sparkSession, label)
+    parts = rows.withColumn("part", F.shiftright(F.col(ROW), PART_BIT))
+    spread = parts.repartition("part").sortWithinPartitions("part", *order)
+    spread.write.partitionBy("part").option("compression", "zstd").parquet(folder)
+    return folder
+
+
+def read_part(folder: str, part: int, columns: list[str]) -> pa.Table | None:
+    """The rows a folder of ``by_part`` holds for one partition, in order; None if there are none."""
+    system, path = file_system(f"{folder}/part={part}")
+    found = system.get_file_info(pafs.FileSelector(path, allow_not_found=True))
+    names = sorted(info.path for info in found if info.path.endswith(".parquet"))
+    tables = [pq.read_table(name, filesystem=system, columns=columns, partitioning=None) for name in names]
+    return pa.concat_tables(tables) if tables else None
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
     """The batches, cut where the values of a text column exceed SLICE_BYTES."""
     for batch in batches:

@@ -1,8 +1,8 @@
 """WARC archives with a two-level capture index.
 
 Writing: pages with equal payloads are found by digest; the first becomes a response
-record, the others revisit records that refer to it. Every task writes records, each
-compressed by itself, to archive files of its own.
+record, the others revisit records that refer to it. Every task writes the records of its
+pages, each compressed by itself, to archive files of its own; pages are not shuffled.
 
 Index: captures are sorted by the URL key with its host reversed, range-partitioned so
 that a host or URL with very many captures spreads over parts. A part is one file of
@@ -34,11 +34,10 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, arrow_map, new_path, numbered, slices, stored, texts
+from .common import PART_BIT, ROW, arrow_map, by_part, file_system, new_path, numbered, read_part, slices, stored, texts
 
 #: Payloads below this size are always responses.
 MIN_BYTES = 100
@@ -58,13 +57,6 @@ NAMES = [field.split()[0] for field in CAPTURE.split(", ")]
 RECORD = "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, verified boolean, payload binary"
 
 
-def files(uri: str) -> tuple[pafs.FileSystem, str]:
-    """The file system and path of a folder or file."""
-    if uri.startswith("file:/") and not uri.startswith("file://"):
-        uri = "file://" + uri[5:]
-    return pafs.FileSystem.from_uri(uri)
-
-
 def url_key(url: str | None) -> str:
     """The host with its labels reversed, then the path: com,example,www)/a?b."""
     if not url:
@@ -110,32 +102,40 @@ def parse(data: bytes) -> tuple[dict[str, str], bytes]:
     return fields, block[: int(fields["Content-Length"])].partition(b"\r\n\r\n")[2]
 
 
-def write_archives(pages: DataFrame) -> DataFrame:
-    """Write a record for every page; a stored table of the captures. ``pages`` must be a stored table."""
-    folder = new_path(pages.sparkSession, "warc")
+def revisits(pages: DataFrame) -> str:
+    """Rows whose payload an earlier row has, with that row; stored by partition of the pages."""
     html = F.coalesce("html", F.lit(""))
-    plain = numbered(pages, "page_id", "url", "html").select(F.col("page_id").cast("long").alias("page_id"), ROW, "url", html.alias("html"))
-    hashed = plain.withColumn("digest", F.sha2("html", 256)).withColumn("n", F.octet_length("html"))
+    hashed = numbered(pages, "page_id", "html").filter(F.octet_length(html) >= MIN_BYTES)
+    hashed = hashed.select(F.col("page_id").cast("long").alias("page_id"), ROW, F.unhex(F.sha2(html, 256)).alias("digest"))
     first = F.struct(F.col("page_id").isNull().alias("no_id"), "page_id", ROW)
-    firsts = hashed.filter(F.col("n") >= MIN_BYTES).groupBy("digest").agg(F.min(first).alias("first"), F.count("*").alias("copies"))
-    rows = hashed.join(firsts.filter("copies > 1").drop("copies"), "digest", "left")
-    rows = rows.select("page_id", ROW, "url", "html", "digest", F.col("first.page_id").alias("first_id"), F.col(f"first.{ROW}").alias("first_row"))
+    firsts = hashed.groupBy("digest").agg(F.min(first).alias("first"), F.count("*").alias("copies")).filter("copies > 1")
+    later = hashed.join(firsts, "digest").filter(F.col(ROW) != F.col(f"first.{ROW}"))
+    return by_part(later.select(ROW, F.col("first.page_id").alias("first_id"), F.col(f"first.{ROW}").alias("first_row")), "revisits", ROW)
+
+
+def write_archives(pages: DataFrame) -> DataFrame:
+    """Write a record for every page; a stored table of the captures. ``pages`` must be a stored table."""
+    folder, known = new_path(pages.sparkSession, "warc"), revisits(pages)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out, name, at = None, "", 0
+        out, name, at, firsts = None, "", 0, None
         for batch in slices(batches, 3):
             found = []
-            columns = [batch.column(i).to_pylist() for i in (0, 1, 2, 4, 5, 6)]
-            for page_id, row, url, digest, first_id, first_row, payload in zip(*columns, texts(batch.column(3)), strict=True):
+            if firsts is None:
+                table = read_part(known, batch.column(1)[0].as_py() >> PART_BIT, [ROW, "first_id", "first_row"])
+                rows = table.to_pydict() if table else {ROW: [], "first_id": [], "first_row": []}
+                firsts = dict(zip(rows[ROW], zip(rows["first_id"], rows["first_row"], strict=True), strict=True))
+            columns = [batch.column(i).to_pylist() for i in range(3)]
+            for page_id, row, url, payload in zip(*columns, texts(batch.column(3)), strict=True):
                 if out is None:
-                    system, path = files(folder)
+                    system, path = file_system(folder)
                     system.create_dir(path, recursive=True)
                     name, at = f"{uuid.uuid4().hex}.warc.gz", 0
                     out = system.open_output_stream(f"{path}/{name}", compression=None)
-                revisits = first_row is not None and first_row != row
-                data = record(page_id, row, url, payload, digest, (first_id, first_row) if revisits else None)
+                first, digest = firsts.get(row), hashlib.sha256(payload).hexdigest()
+                data = record(page_id, row, url, payload, digest, first)
                 out.write(data)
-                kind, refers = ("revisit", first_id) if revisits else ("response", None)
+                kind, refers = ("revisit", first[0]) if first else ("response", None)
                 found.append((url_key(url), page_id, row, url, kind, refers, digest, len(payload), f"{folder}/{name}", at, len(data)))
                 at += len(data)
                 if at > ARCHIVE_BYTES:
@@ -145,7 +145,8 @@ def write_archives(pages: DataFrame) -> DataFrame:
         if out is not None:
             out.close()
 
-    return stored(rows.mapInArrow(write, CAPTURE), "captures")
+    plain = numbered(pages, "page_id", "url", "html").select(F.col("page_id").cast("long").alias("page_id"), ROW, "url", "html")
+    return stored(plain.mapInArrow(write, CAPTURE), "captures")
 
 
 def captures(rows: list[tuple]) -> pa.RecordBatch:
@@ -168,7 +169,7 @@ def build_index(found: DataFrame) -> DataFrame:
         def flush() -> None:
             nonlocal at, out
             if out is None:
-                system, path = files(folder)
+                system, path = file_system(folder)
                 system.create_dir(path, recursive=True)
                 out = system.open_output_stream(f"{path}/{name}", compression=None)
             data = zlib.compress("\n".join(json.dumps(row) for row in waiting).encode())
@@ -199,7 +200,7 @@ def build_index(found: DataFrame) -> DataFrame:
 
 
 def read_range(file: str, begin: int, length: int) -> bytes:
-    system, path = files(file)
+    system, path = file_system(file)
     with system.open_input_file(path) as source:
         return source.read_at(length, begin)
 
