@@ -58,7 +58,7 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(FOLD).split()
 
 
-def vocabulary(docs: DataFrame, size: int = VOCABULARY) -> list[str]:
+def vocabulary(docs: DataFrame, size: int = VOCABULARY) -> list[bytes]:
     """The most frequent words of all documents."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -14,7 +14,6 @@ from awkward import CLASHES, PASSAGE, SENTENCE, pairs
 import corpus_pipeline
 from borderlake.llm import sentencepiece_lattice as sp
 from borderlake.llm import warc
-from borderlake.llm.common import ROW
 from borderlake.llm.decontaminate import drop_contaminated, find_items
 from borderlake.llm.html_extract import article_text, blocks, html_extract
 
