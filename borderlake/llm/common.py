@@ -103,14 +103,14 @@ def read_part(folder: str, part: int, columns: list[str]) -> pa.Table | None:
     return pa.concat_tables(tables) if tables else None
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
-    """The batches, cut where the values of a text column exceed SLICE_BYTES."""
+def slices(batches: Iterator[pa.RecordBatch], column: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches, cut where the values of a text column exceed ``limit`` bytes."""
     for batch in batches:
         start, size = 0, 0
         values = batch.column(column)
         lengths = pc.fill_null(pc.binary_length(values), 0).to_numpy(zero_copy_only=False)
         for i, n in enumerate(lengths):
-            if size and size + n > SLICE_BYTES:
+            if size and size + n > limit:
                 yield batch.slice(start, i - start)
                 start, size = i, 0
             size += int(n)
@@ -123,12 +123,18 @@ def texts(column: pa.Array) -> list[bytes]:
     return [value or b"" for value in column.cast(pa.large_binary()).to_pylist()]
 
 
-def arrow_map(df: DataFrame, schema: str, run: Callable[[pa.RecordBatch], pa.RecordBatch | None], text_column: str) -> DataFrame:
+def arrow_map(
+    df: DataFrame,
+    schema: str,
+    run: Callable[[pa.RecordBatch], pa.RecordBatch | None],
+    text_column: str,
+    limit: int = SLICE_BYTES,
+) -> DataFrame:
     """``run`` over slices of bounded size of each partition."""
     at = df.columns.index(text_column)
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in slices(batches, at):
+        for piece in slices(batches, at, limit):
             made = run(piece)
             if made is not None and len(made):
                 yield made

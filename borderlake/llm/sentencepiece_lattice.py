@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import heapq
 import re
+from collections.abc import Iterator
 from itertools import count
 from typing import NamedTuple
 
@@ -42,7 +43,9 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Paths that are returned, the best one included.
 N_BEST = 4
 #: Distinct units a worker remembers, and units that go through Viterbi at a time.
-HELD_UNITS, TOGETHER = 500_000, 20_000
+HELD_UNITS, TOGETHER = 400_000, 20_000
+#: Bytes of text that are encoded, and documents that are decoded, at a time.
+ENCODED, DECODED = 2 << 20, 500
 BLANK, UNIT = "▁", re.compile(r" *[^ \n]+| +|\n")
 #: Id of an edge of code points without a piece.
 BYTES = -1
@@ -336,7 +339,7 @@ def encode(docs: DataFrame, model: str = MODEL, n: int = N_BEST) -> DataFrame:
         names = ["doc_id", ROW, "ids", "score", "others"]
         return pa.record_batch([batch.column("doc_id").cast(pa.int64()), batch.column(ROW), *made], names=names)
 
-    return arrow_map(numbered(docs, "doc_id", "text"), SCHEMA, run, "text")
+    return arrow_map(numbered(docs, "doc_id", "text"), SCHEMA, run, "text", ENCODED)
 
 
 def decode_ids(lexicon: Lexicon, ids: np.ndarray) -> bytes:
@@ -351,12 +354,15 @@ def decode(rows: DataFrame, model: str = MODEL) -> DataFrame:
     """``rows`` with the text of their ``ids``. The columns of ``encode`` are passed on."""
     lexicon = rows.sparkSession.sparkContext.broadcast(load(model))
 
-    def over(batches):
-        for batch in batches:
-            ids = batch.column("ids")
-            flat, offsets = ids.values.to_numpy(), ids.offsets.to_numpy()
-            found = [decode_ids(lexicon.value, flat[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-            yield pa.record_batch([*batch.columns, pa.array(found, pa.binary()).cast(pa.string())], names=[*batch.schema.names, "text"])
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, len(whole), DECODED):
+                batch = whole.slice(at, DECODED)
+                ids = batch.column("ids")
+                flat, offsets = ids.values.to_numpy(), ids.offsets.to_numpy()
+                found = [decode_ids(lexicon.value, flat[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+                text = pa.array(found, pa.binary()).cast(pa.string())
+                yield pa.record_batch([*batch.columns, text], names=[*batch.schema.names, "text"])
 
     return rows.mapInArrow(over, f"{SCHEMA}, text string")
 
