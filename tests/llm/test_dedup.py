@@ -206,3 +206,20 @@ def test_suffix_dedup_of_frequent_samples_and_pieces(stored_table, monkeypatch):
     found = suffix_dedup(docs).collect()
     counted = Counter((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], sha(bytes(r["kept"]))) for r in found)
     assert counted == suffix_expected(rows)
+
+
+@pytest.mark.parametrize("contexts", [1, 2 * suffix_module.LOCAL])
+def test_suffix_dedup_of_runs_repeated_in_their_smallest_document(stored_table, contexts):
+    """Each of several equal runs, also in rows of one id, loses what smaller documents have."""
+    rows = [(n, f"{n * 7919 % 1000} alpha start {n}{PASSAGE}{n * 31 % 977} other tail") for n in range(contexts)]
+    rows += [(1000, "\n".join([PASSAGE] * 4)), (1001, f"x\n{PASSAGE}\ny\n{PASSAGE}\ny\n{PASSAGE}\nz"), (1001, f"y\n{PASSAGE}\ny")]
+    found = suffix_dedup(stored_table(rows, "doc_id long, text string")).collect()
+    counted = Counter((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], sha(bytes(r["kept"]))) for r in found)
+    assert counted == suffix_expected(rows)
+
+
+def test_suffix_dedup_of_repeated_lines_in_larger_tables(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = suffix_dedup(docs).collect()
+    counted = Counter((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], sha(bytes(r["kept"]))) for r in found)
+    assert counted == suffix_expected(pairs(docs))
