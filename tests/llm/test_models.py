@@ -113,6 +113,24 @@ def test_lm_score(table, spark, request):
         assert (row["score"] is None) == (row["n_tokens"] == 0)
 
 
+def test_lm_score_counts_every_word_and_pair(stored_table, spark, monkeypatch):
+    """More words than any bound there was, in many lots, against exact pairs."""
+    rng = np.random.default_rng(7)
+    rows = [(n, " ".join(f"w{i}" for i in np.minimum(rng.zipf(1.2, 500), 10**6) * 50 + rng.integers(0, 50, 500))) for n in range(60)]
+    rows[7:9] = [(7, ""), (8, rows[6][1])]
+    vocabulary = sorted({word for _, text in rows for word in words_of(text.encode())})
+    assert len(vocabulary) > lm.VOCABULARY
+    target = set(range(0, 60, 4))
+    docs = stored_table(rows, "doc_id long, text string")
+    found = lm_score(docs, spark.createDataFrame([(i,) for i in target], "doc_id long"), lot=3000).collect()
+    monkeypatch.setattr(lm, "VOCABULARY", len(vocabulary) + 1)
+    expected = {row[0]: row for row in plain_losses(rows, target, vocabulary)}
+    assert len(found) == len(rows)
+    for row in found:
+        got = (row["doc_id"], row["is_target"], row["n_tokens"], row["loss_target"], row["loss_background"])
+        assert got == pytest.approx(expected[row["doc_id"]], abs=1e-9)
+
+
 def test_vocabulary_counts_every_word(small):
     counted = Counter(word for _, text in pairs(small) for word in words_of((text or "").encode()))
     top = sorted(counted, key=lambda word: (-counted[word], word))[:99]
