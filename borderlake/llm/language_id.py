@@ -14,6 +14,13 @@ The model is fitted on a bounded sample of labelled rows: SAMPLE in equal parts
 languages, LANDMARKS of them as landmarks, the MAX_LANGUAGES most frequent languages at
 most. Rows are drawn by a hash of their id, so the sample is the same in every run.
 
+Scores compare the learned languages with each other, so that a text in none of them has
+a best one as well. ``keep_language`` therefore asks how many of a text's distinct trigrams
+are known in that language: found in two texts of its sample. The share that labelled texts
+reach is measured on the sample, without the text itself. A text goes if in every language
+it has fewer than SLACK times that share by more than chance, which leaves short texts more
+room.
+
 Defined cases: null text, or text without letters, is ``und`` with score 0, and so is
 every text if there is no labelled row. A null doc_id is not held out and not learned
 from. Equal scores go to the language that comes first in the alphabet. Repeated rows
@@ -43,6 +50,9 @@ BLOCK = 256
 BLANK, BITS = 27, 7
 GRAMS = 1 << (3 * BITS)
 UNKNOWN = "und"
+#: Quantile of the shares of known trigrams in the sample, the part of it a text needs, and the
+#: standard deviations below that are chance.
+LOWEST, SLACK, CHANCE = 0.01, 0.9, 3.0
 
 
 class Model(NamedTuple):
@@ -189,7 +199,67 @@ def _scorer(model: Callable[[], Model]) -> Callable[[pa.RecordBatch], pa.RecordB
     return run
 
 
-def keep_language(docs: DataFrame, min_score: float) -> DataFrame:
+class Known(NamedTuple):
+    #: Known trigrams, as number of the language times GRAMS plus trigram, in order.
+    grams: np.ndarray
+    #: The share of known trigrams that texts of each language need.
+    shares: np.ndarray
+
+
+def trigrams(codes: np.ndarray) -> np.ndarray:
+    return codes[codes >= 1 << (2 * BITS)]
+
+
+def known_grams(drawn: list[tuple[str, np.ndarray]], languages: list[str]) -> Known:
+    found, shares = [], []
+    for n, language in enumerate(languages):
+        own = [trigrams(codes) for lang, codes in drawn if lang == language]
+        held = np.bincount(np.concatenate(own), minlength=GRAMS)
+        found.append(n * GRAMS + np.flatnonzero(held > 1))
+        # Three texts hold it: two besides the one that is measured.
+        reached = [float((held[codes] > 2).mean()) for codes in own if len(codes)]
+        shares.append(SLACK * float(np.quantile(reached, LOWEST)) if reached else 0.0)
+    return Known(np.concatenate([np.zeros(0, np.int64), *found]), np.array(shares))
+
+
+def familiar(known: Known, values: list[str | None], predicted: np.ndarray) -> np.ndarray:
+    """Whether each text has as many known trigrams as a text in some learned language has. The
+    language of a number in ``predicted`` is tried first, the others for texts that fail it."""
+    owner, gram = grams(values)
+    three = gram >= 1 << (2 * BITS)
+    distinct = np.unique(owner[three].astype(np.int64) * GRAMS + gram[three])
+    owner, gram = distinct // GRAMS, distinct % GRAMS
+    total = np.bincount(owner, minlength=len(values))
+
+    def enough(number: np.ndarray) -> np.ndarray:
+        wanted = number[owner] * GRAMS + gram
+        at = np.minimum(np.searchsorted(known.grams, wanted), max(len(known.grams) - 1, 0))
+        hit = known.grams[at] == wanted if len(known.grams) else np.zeros(len(wanted), bool)
+        seen, share = np.bincount(owner, hit, len(values)), known.shares[number]
+        return seen >= total * share - CHANCE * np.sqrt(total * share * (1 - share))
+
+    out = enough(predicted)
+    for n in range(len(known.shares)):
+        if out.all():
+            break
+        out |= enough(np.full(len(values), n))
+    return out
+
+
+def keep_language(docs: DataFrame, min_score: float = 0.0) -> DataFrame:
     """The documents in a learned language with enough score, all columns as they were."""
-    found = language_id(docs)
-    return keep_rows(docs, found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)))
+    drawn = sample(docs, SAMPLE)
+    fitted = fit(drawn)
+    model = docs.sparkSession.sparkContext.broadcast((fitted, known_grams(drawn, fitted.languages)))
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        (languages, *_), known = model.value
+        number, keep = {language: n for n, language in enumerate(languages)}, []
+        for at in range(0, len(batch), BLOCK):
+            values = batch.column("text").slice(at, BLOCK).to_pylist()
+            lang, score = scores(model.value[0], values)
+            near = familiar(known, values, np.array([number.get(x, 0) for x in lang])) if languages else [False] * len(values)
+            keep += [bool(n) and x != UNKNOWN and s >= min_score for n, x, s in zip(near, lang, score, strict=True)]
+        return pa.record_batch([batch.column(ROW).filter(pa.array(keep, pa.bool_()))], names=[ROW])
+
+    return keep_rows(docs, arrow_map(numbered(docs, "text"), f"{ROW} long", run, "text"))

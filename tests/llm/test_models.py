@@ -45,6 +45,28 @@ def test_language_id_of_awkward_rows(odd, empty):
     assert keep_language(odd, 0.0).columns == odd.columns
 
 
+def test_pipeline_drops_texts_in_no_learned_language(spark, stored_table):
+    """Planted texts of an unlearned language and of random letters go; clean ones stay, short ones too."""
+    import random
+
+    import corpus_pipeline
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang").collect()
+    rng = random.Random(3)
+    foreign = [(r["doc_id"], r["text"], None) for r in docs if r["lang"] == "de" and len(r["text"]) > 300]
+    learned = [tuple(r) for r in docs if r["lang"] != "de"]
+    noise = [(10**6 + n, " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(3, 9))) for _ in range(20)), None) for n in range(50)]
+    short = [(2 * 10**6 + r[0], " ".join(r[1].split()[:4]), None) for r in learned[:200]]
+    table = stored_table(learned + foreign + noise + short, "doc_id long, text string, lang string")
+    kept = {r["doc_id"] for r in corpus_pipeline.language(spark, table, "").collect()}
+
+    def part(rows):
+        return sum(r[0] in kept for r in rows) / len(rows)
+
+    assert part(noise) == 0 and part(foreign) < 0.02
+    assert part(learned) > 0.99 and part(short) > 0.97
+
+
 def test_without_labels_everything_is_unknown(odd):
     found = language_id(odd.withColumn("lang", F.lit(None).cast("string")))
     assert {(r["lang_pred"], r["score"]) for r in found.collect()} == {("und", 0.0)}
