@@ -6,9 +6,6 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-KEY = "key-for-tests-only"
-
-
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = (
@@ -27,10 +24,3 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-def rows(frame):
-    """Contents of a small frame as a set of tuples; copies are an error."""
-    found = [tuple(r) for r in frame.collect()]
-    assert len(found) == len(set(found)), "duplicate rows"
-    return set(found)

@@ -12,7 +12,7 @@ from borderlake.operators.judge import judge, quarantine
 from borderlake.operators.set_checks import set_check_violations
 from borderlake.operators.silver import silver_customers, silver_transactions
 
-from conftest import KEY, rows
+from helpers import KEY, rows
 
 C = "customer_id first_name last_name sa_id_number email phone province signup_date home_region".split()
 T = "transaction_id customer_id amount_zar currency merchant txn_timestamp processing_region".split()

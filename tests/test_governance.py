@@ -11,7 +11,7 @@ from borderlake.functions.residency import classify_transfer, load_policy, regio
 from borderlake.operators.contracts import load_contract, load_contracts, pii_columns, pii_inventory
 from borderlake.operators.silver import projection
 
-from conftest import KEY, rows
+from helpers import KEY, rows
 
 POLICY = {"allowed_regions": ["af-south-1"], "flagged_regions": ["eu-west-1"], "on_unknown_region": "blocked"}
 

@@ -17,7 +17,7 @@ from borderlake.sources import synthetic as syn
 from borderlake.sources.delivery import write_csv
 from borderlake.sources.lake import Lake
 
-from conftest import KEY, rows
+from helpers import KEY, rows
 
 EXPECTED = {
     ("customers", "C00001", "sa_id"),

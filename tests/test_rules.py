@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from borderlake.functions.text import WHITESPACE, cell, number, number_text
 from borderlake.operators.contracts import validate
 
-from conftest import rows
+from helpers import rows
 
 
 def failures(spark, texts, **spec):
