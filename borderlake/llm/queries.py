@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .collocations import collocations
 from .common import ROW, read_table
 from .decontaminate import find_items
 from .exact_dedup import exact_dedup
@@ -12,10 +13,12 @@ from .html_extract import html_extract
 from .language_id import language_id
 from .line_dedup import line_dedup
 from .lm_score import lm_score
+from .secrets import scan_secrets
 from .sentencepiece_lattice import round_trip
 from .simhash import simhash_groups
 from .suffix_dedup import suffix_dedup
 from .warc import archive_round_trip
+from .whitening import whitened_components
 
 
 def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,6 +68,19 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened_components(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_warc": op2_warc,
@@ -76,6 +92,9 @@ QUERIES = {
     "op8_html_extraction": op8_html_extraction,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_secret_scan": op11_secret_scan,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_phrase_collocations": op13_phrase_collocations,
 }
 
 #: Items are at least five words long in the tables given; the operator takes shorter ones too.
@@ -139,4 +158,91 @@ SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM normal WINDOW w AS (PARTITION BY t)
 """
 
-ORACLE_SQL = {"op1_benchmark_decontamination": DECONTAMINATION, "op2_warc": WARC, "op4_line_dedup": LINE_DEDUP, "op9_exact_dedup": EXACT_DEDUP}
+#: Places of matches: the lengths of the gaps and matches before. Links are the pairs of the interval join.
+SECRET_SCAN = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents
+), kinds AS (
+  SELECT * FROM (VALUES
+    (0, 'assign', '(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 6),
+    (1, 'access', '(AKIA[A-Z0-9]+)', 20),
+    (2, 'hex', '([0-9a-f]{24,})', 24),
+    (3, 'account', '(?:[Uu][Ss][Ee][Rr](?:_?[Nn][Aa][Mm][Ee]|_?[Ii][Dd])?|[Ll][Oo][Gg][Ii][Nn]|[Aa][Cc][Cc][Oo][Uu][Nn][Tt](?:_?[Ii][Dd])?|[Cc][Ll][Ii][Ee][Nn][Tt]_?[Ii][Dd]|[Aa][Cc][Cc][Ee][Ss][Ss]_?[Kk][Ee][Yy](?:_?[Ii][Dd])?)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.@-]+)', 3),
+    (4, 'opaque', '([A-Za-z0-9+/_=-]{16,})', 16),
+    (5, 'endpoint', '([a-z][a-z0-9+.-]{1,15}://[A-Za-z0-9_.:@-]+(?:/[A-Za-z0-9_./?=&%-]*)?)', 8)
+  ) AS k(kind, name, pattern, least)
+), cut AS (
+  SELECT row, kind, name, least, pattern, string_split_regex(text, pattern) AS gaps, regexp_extract_all(text, pattern) AS hits, regexp_extract_all(text, pattern, 1) AS held, text
+  FROM docs, kinds
+), hits AS (
+  SELECT row, kind, name, least, hit, held, text,
+    list_sum(list_transform(gaps[1:i], lambda g: length(g))) + coalesce(list_sum(list_transform(hits[1:i - 1], lambda h: length(h))), 0) AS start
+  FROM (SELECT row, kind, name, least, gaps, hits, text, unnest(range(1, len(hits) + 1)) AS i, unnest(hits) AS hit, unnest(held) AS held FROM cut)
+), found AS (
+  SELECT row, kind, name, start::INTEGER AS s, (start + length(hit))::INTEGER AS e,
+    len(regexp_extract_all(text[1:start::INTEGER], '\n[\x20\t\r]*\n')) AS scope
+  FROM hits WHERE length(held) >= least AND (kind <> 4 OR (regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[A-Za-z]')))
+), spans AS (
+  SELECT * FROM found f WHERE kind NOT IN (3, 4) OR NOT EXISTS
+    (SELECT 1 FROM found b WHERE b.row = f.row AND b.kind < 3 AND b.s < f.e AND f.s < b.e)
+), links AS (
+  SELECT x.row, x.kind AS k1, x.s AS s1, y.kind AS k2, y.s AS s2
+  FROM spans x JOIN spans y ON x.row = y.row AND x.scope = y.scope AND x.kind IN (0, 2, 4) AND y.kind IN (1, 3, 5)
+    AND y.s - x.e <= 200 AND x.s - y.e <= 200
+), reported AS (
+  SELECT * FROM spans p WHERE kind < 3
+    OR EXISTS (SELECT 1 FROM links WHERE links.row = p.row AND ((k1 = kind AND s1 = s) OR (k2 = kind AND s2 = s)))
+)
+SELECT doc_id, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access, count(*) FILTER (WHERE kind = 2) AS n_hex,
+  sha256(coalesce(string_agg(name || ':' || s || ':' || e, ',' ORDER BY s, kind) FILTER (WHERE kind < 3), '')) AS base_sha256,
+  coalesce(string_agg(name || ':' || s || ':' || e, ',' ORDER BY s, kind), '') AS spans
+FROM docs LEFT JOIN reported USING (row) GROUP BY row, doc_id
+"""
+
+COLLOCATIONS = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), texts AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS words FROM pieces
+), grams AS (
+  SELECT lang, unnest(list_transform(range(1, len(words) - k + 2), lambda i: array_to_string(words[i:i + k - 1], ' '))) AS phrase, k
+  FROM texts, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(words) >= k
+), counted AS (
+  SELECT lang, phrase, k, count(*) AS f FROM grams GROUP BY ALL
+), totals AS (
+  SELECT lang, sum(f)::BIGINT AS n FROM counted WHERE k = 1 GROUP BY lang
+), candidates AS (
+  SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS words FROM counted WHERE k >= 2 AND f >= 30
+), cuts AS (
+  SELECT lang, phrase, a, unnest(range(1, k)) AS cut, words, k FROM candidates
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, c.cut, x.f AS l, y.f AS r, ((2000000::HUGEINT * c.a) // (x.f + y.f))::BIGINT AS score
+  FROM cuts c
+  JOIN counted x ON x.lang = c.lang AND x.phrase = array_to_string(c.words[1:c.cut], ' ')
+  JOIN counted y ON y.lang = c.lang AND y.phrase = array_to_string(c.words[c.cut + 1:], ' ')
+), lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), inner_phrases AS (
+  SELECT lang, a AS longer, unnest(flatten(list_transform(range(2, k), lambda m: list_transform(range(1, k - m + 2), lambda i: array_to_string(words[i:i + m - 1], ' '))))) AS phrase
+  FROM candidates WHERE k > 2
+), covered AS (
+  SELECT lang, phrase, max(longer) AS longer FROM inner_phrases GROUP BY ALL
+), kept AS (
+  SELECT s.* FROM lowest s LEFT JOIN covered v ON v.lang = s.lang AND v.phrase = s.phrase
+  WHERE 100::HUGEINT * coalesce(v.longer, 0) < 80::HUGEINT * s.a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN totals USING (lang)
+QUALIFY rank <= 2000
+"""
+
+ORACLE_SQL = {
+    "op1_benchmark_decontamination": DECONTAMINATION,
+    "op2_warc": WARC,
+    "op4_line_dedup": LINE_DEDUP,
+    "op9_exact_dedup": EXACT_DEDUP,
+    "op11_secret_scan": SECRET_SCAN,
+    "op13_phrase_collocations": COLLOCATIONS,
+}
