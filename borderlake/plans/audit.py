@@ -14,7 +14,8 @@ log = logging.getLogger(__name__)
 
 
 def audit_details(quarantine: DataFrame) -> DataFrame:
-    """What a silver build rejected: violations of the contracts, and records."""
+    """What a silver build rejected: violations of the contracts, and records. Reasons that
+    redaction makes the same count once."""
     cascades = ("parent_quarantined", "residency_blocked")
     return quarantine.agg(
         F.count_if(~F.col("rule").isin(*cascades)).alias("contract_violations"),

@@ -21,7 +21,7 @@ from borderlake.operators.gold import build_gold, crossed
 from borderlake.operators.judge import judge, quarantine
 from borderlake.operators.silver import silver_customers, silver_transactions
 from borderlake.plans.audit import audit_details, record
-from borderlake.sources.delivery import read_csv
+from borderlake.sources.delivery import load_csv
 from borderlake.sources.lake import Lake, side_by_side
 
 log = logging.getLogger(__name__)
@@ -58,22 +58,29 @@ def sized_shuffles(spark: SparkSession, paths: list[str]) -> Iterator[int]:
         spark.conf.unset(INITIAL_PARTITIONS)
 
 
-def ingest(lake: Lake, deliveries: dict[str, str], multi_line: bool = False) -> dict[str, int]:
+def ingest(lake: Lake, deliveries: dict[str, str]) -> dict[str, int]:
     """Load each delivery into its bronze table; gives the row counts."""
     loaded_at = datetime.now(timezone.utc).isoformat()
 
     def load(name: str) -> int:
-        rows = read_csv(lake.spark, deliveries[name], loaded_at, multi_line)
-        return lake.replace(rows, "bronze", name)[1]["rows"]
+        return lake.load("bronze", name, partial(load_csv, lake.spark, deliveries[name], loaded_at))
 
-    return dict(zip(deliveries, side_by_side(lake.spark, [partial(load, name) for name in deliveries]), strict=True))
+    with lake.build():
+        counts = side_by_side(lake.spark, [partial(load, name) for name in deliveries])
+    return dict(zip(deliveries, counts, strict=True))
 
 
 def transform(lake: Lake, contracts: dict[str, dict], policy: dict, key: str | None = None) -> dict[str, int]:
-    """Bronze to silver and gold. Each step is stored, so a lost executor costs
-    a few tasks and never an earlier step."""
+    """Bronze to silver and gold, all of which become current together. Each step is stored,
+    so a lost executor costs a few tasks and never an earlier step."""
     key = secret_key(key)  # fail before any work is done
+    with lake.build():
+        details = _transform(lake, contracts, policy, key)
+    record(lake, "build_silver", details)
+    return details
+
 
+def _transform(lake: Lake, contracts: dict[str, dict], policy: dict, key: str) -> dict[str, int]:
     def keep(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
         jobs = [partial(lake.replace, frame, "staging", name) for name, frame in frames.items()]
         return dict(zip(frames, (table for table, _ in side_by_side(lake.spark, jobs)), strict=True))
@@ -104,12 +111,9 @@ def transform(lake: Lake, contracts: dict[str, dict], policy: dict, key: str | N
         "silver_transactions": moved["rows"],
         "cross_border_transactions": moved["crossings"],
     }
-    record(lake, "build_silver", details)
     silver = {"customers": customers, "transactions": transactions, "pii_inventory": inventory}
     marts = build_gold(silver)
     side_by_side(lake.spark, [partial(lake.replace, mart, "gold", name) for name, mart in marts.items()])
-    for layer, name in lake.tables("staging"):  # raw personal data that nothing needs any more
-        lake.drop(layer, name)
     return details
 
 
@@ -118,12 +122,15 @@ def run(
     deliveries: dict[str, str],
     governance: Folder = GOVERNANCE,
     key: str | None = None,
-    multi_line: bool = False,
 ) -> dict[str, int]:
-    """Build everything from the deliveries. Running it again gives the same tables."""
+    """Build everything from the deliveries. Running it again gives the same tables. Readers
+    see the tables of the build before until all of this one are there."""
     contracts = load_contracts(governance)
     policy = load_policy(folder(governance) / "residency.yml")
-    secret_key(key)
+    key = secret_key(key)
     with sized_shuffles(lake.spark, list(deliveries.values())):
-        log.info("ingested %s", ingest(lake, deliveries, multi_line))
-        return transform(lake, contracts, policy, key)
+        with lake.build():
+            log.info("ingested %s", ingest(lake, deliveries))
+            details = _transform(lake, contracts, policy, key)
+        record(lake, "build_silver", details)
+    return details

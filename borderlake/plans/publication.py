@@ -5,22 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from borderlake.operators.reports import TRANSFERS_PER_PAGE, view_payload
-from borderlake.sources.lake import Lake
+from borderlake.sources.lake import Lake, Snapshot
 from borderlake.sources.publish import publish
 
 
 def publish_lake(lake: Lake, policy: dict, target: str, page_size: int = TRANSFERS_PER_PAGE) -> DataFrame:
-    """Write silver and gold under ``target``, and the payload as ``payload.json``; the manifest."""
-    manifest = publish(lake, target)
-    payload = view_payload(
-        lake.spark,
-        lake.table("silver", "customers"),
-        lake.table("silver", "transactions"),
-        lake.table("gold", "cross_border_transfer_report"),
-        lake.table("silver", "quarantine"),
-        lake.table("silver", "pii_inventory"),
-        policy,
-        page_size,
-    )
-    payload.write.mode("overwrite").json(f"{target}/payload.json")
-    return manifest
+    """Publish silver and gold under ``target``, with the payload as ``payload.json``; the manifest."""
+
+    def payload(folder: str, build: Snapshot) -> None:
+        view_payload(
+            lake.spark,
+            build.table("silver", "customers"),
+            build.table("silver", "transactions"),
+            build.table("gold", "cross_border_transfer_report"),
+            build.table("silver", "quarantine"),
+            build.table("silver", "pii_inventory"),
+            policy,
+            page_size,
+        ).write.json(f"{folder}/payload.json")
+
+    return publish(lake, target, payload)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from datetime import datetime, timezone
-from typing import TypeVar
+from threading import Lock
+from typing import NamedTuple, TypeVar
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -15,6 +18,10 @@ from pyspark.sql.types import StructType
 T = TypeVar("T")
 
 LAYERS = ("bronze", "staging", "silver", "gold", "ops")
+# Where a loaded delivery has its records, inside its version's folder.
+LOADED = "_load=records"
+# Folder of the records that say which version of every table is current.
+COMMITS = "_commits"
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -24,6 +31,14 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{run_id()}"
 
 
+def stored(frame: DataFrame, name: str) -> DataFrame:
+    """A frame written to a fresh shared folder and read back, so that what follows neither
+    repeats it nor sees another outcome of it."""
+    folder = shared_folder(frame.sparkSession, name)
+    frame.write.parquet(folder)
+    return frame.sparkSession.read.schema(frame.schema).parquet(folder)
+
+
 def run_id() -> str:
     """Sorts by time."""
     return datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
@@ -37,18 +52,83 @@ def side_by_side(spark: SparkSession, jobs: list[Callable[[], T]]) -> list[T]:
         return [job.result() for job in started]
 
 
+def _placed(spark: SparkSession, name: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, file: str) -> bool:
+    path, fs = _placed(spark, file)
+    return fs.exists(path)
+
+
+def folders(spark: SparkSession, parent: str) -> list[str]:
+    path, fs = _placed(spark, parent)
+    if not fs.exists(path):
+        return []
+    return sorted(s.getPath().toString() for s in fs.listStatus(path) if s.isDirectory())
+
+
+def delete(spark: SparkSession, folder: str) -> None:
+    path, fs = _placed(spark, folder)
+    fs.delete(path, True)
+
+
+class Version(NamedTuple):
+    """Where the files of one version of a table lie, and its columns."""
+
+    folder: str
+    schema: StructType
+    partition_by: tuple[str, ...] = ()
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema(self.schema).parquet(self.folder)
+
+
+Tables = dict[tuple[str, str], Version]
+
+
+class Snapshot:
+    """The tables of one build, whatever is built meanwhile."""
+
+    def __init__(self, spark: SparkSession, number: int, versions: Tables) -> None:
+        self.spark, self.number, self.versions = spark, number, versions
+
+    def table(self, layer: str, table: str) -> DataFrame:
+        return self.versions[layer, table].read(self.spark)
+
+    def tables(self, *layers: str) -> list[tuple[str, str]]:
+        return sorted((t for t in self.versions if t[0] in layers), key=lambda t: (layers.index(t[0]), t[1]))
+
+    def views(self, prefix: str = "") -> list[str]:
+        """Temporary views ``<prefix><layer>_<table>``, for SQL over one build."""
+        names = {f"{prefix}{layer}_{table}": (layer, table) for layer, table in self.versions}
+        for name, where in names.items():
+            self.table(*where).createOrReplaceTempView(name)
+        return sorted(names)
+
+
 class Lake:
     """Tables in schemas bronze, staging, silver, gold and ops under one root.
 
-    ``replace`` writes a full new version beside the current one and then points
-    the catalog at it: a failed build leaves the old table in place, and a build
-    may read the table it replaces. The complete version before stays for readers
-    still at it; older and broken ones are deleted. Raw personal data is in bronze and staging
-    only, which are never published.
+    ``replace`` writes a full new version of a table beside the current one. What is current
+    is said by the last *commit record*, a small file that names the version of every table.
+    A build (``with lake.build()``) commits all its tables by one record, so readers see the
+    tables of one build, never some of the next: ``table`` and ``snapshot`` go by the record.
+    A build that fails commits nothing, and a build may read the tables it replaces.
+
+    The session catalog is pointed at the versions after each commit, table by table, for SQL
+    by table name; ``Snapshot.views`` has SQL names that change together.
+
+    Versions named by the last two records stay, for readers still at them; older and broken
+    ones are deleted. Raw personal data is in bronze and staging only, which are never
+    published; staging tables made in a build last as long as the build.
     """
 
     def __init__(self, spark: SparkSession, root: str, prefix: str = "") -> None:
         self.spark, self.root, self.prefix = spark, root.rstrip("/"), prefix
+        self._building: Tables | None = None
+        self._lock = Lock()
         for layer in LAYERS:
             spark.sql(f"CREATE SCHEMA IF NOT EXISTS {prefix}{layer} LOCATION '{self.root}/{layer}'")
 
@@ -56,7 +136,31 @@ class Lake:
         return f"{self.prefix}{layer}.{table}"
 
     def table(self, layer: str, table: str) -> DataFrame:
-        return self.spark.table(self.name(layer, table))
+        """A table as the running build has it, else as the last commit has it."""
+        versions = {**self._last_commit()[1], **(self._building or {})}
+        found = versions.get((layer, table))
+        return self.spark.table(self.name(layer, table)) if found is None else found.read(self.spark)
+
+    def snapshot(self) -> Snapshot:
+        return Snapshot(self.spark, *self._last_commit())
+
+    @contextmanager
+    def build(self) -> Iterator[None]:
+        """All tables replaced within become current together, at the end. A build within a
+        build is part of it."""
+        if self._building is not None:
+            yield
+            return
+        made = self._building = {}
+        try:
+            yield
+            self._building = None
+            self._commit({where: v for where, v in made.items() if where[0] != "staging"})
+        finally:
+            self._building = None
+            for layer, table in made:
+                if layer == "staging":
+                    self._delete(f"{self.root}/{layer}/{table}")
 
     def tables(self, *layers: str) -> list[tuple[str, str]]:
         return [
@@ -78,9 +182,86 @@ class Lake:
         path = f"{self.root}/{layer}/{table}/{run_id()}"
         observed = frame.observe(seen, F.count("*").alias("rows"), *[c.alias(n) for n, c in counts.items()])
         observed.write.partitionBy(*partition_by).parquet(path)
-        self._point(layer, table, path, frame.schema, partition_by)
-        self._forget_old_versions(layer, table, path)
-        return self.table(layer, table), seen.get
+        return self._made(layer, table, Version(path, frame.schema, partition_by)), seen.get
+
+    def load(self, layer: str, table: str, write: Callable[[str], tuple[str, StructType, int]]) -> int:
+        """As ``replace``, for contents that ``write`` stores under the folder it is given. It
+        tells the folder of the table's files, their columns and the row count."""
+        folder, schema, rows = write(f"{self.root}/{layer}/{table}/{run_id()}")
+        self._made(layer, table, Version(folder, schema))
+        return rows
+
+    def _made(self, layer: str, table: str, version: Version) -> DataFrame:
+        if self._building is None:
+            self._commit({(layer, table): version})
+        else:
+            self._building[layer, table] = version
+        return version.read(self.spark)
+
+    # --- commits ---------------------------------------------------------------------
+
+    def _records(self) -> list[str]:
+        """Names of the commit records, the last one last."""
+        path = self._path(f"{self.root}/{COMMITS}")
+        fs = path.getFileSystem(self._conf())
+        if not fs.exists(path):
+            return []
+        return sorted(n for s in fs.listStatus(path) if not (n := s.getPath().getName()).startswith((".", "_")))
+
+    def _commit_of(self, record: str) -> Tables:
+        path = self._path(f"{self.root}/{COMMITS}/{record}")
+        stream = path.getFileSystem(self._conf()).open(path)
+        try:
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return {
+            tuple(name.split(".", 1)): Version(v["folder"], StructType.fromJson(v["schema"]), tuple(v["partition_by"]))
+            for name, v in json.loads(text).items()
+        }
+
+    def _last_commit(self) -> tuple[int, Tables]:
+        while records := self._records():
+            try:
+                return int(records[-1]), self._commit_of(records[-1])
+            except Exception:  # replaced by later ones while it was read
+                if records[-1] in self._records():
+                    raise
+        return 0, {}
+
+    def _commit(self, made: Tables) -> None:
+        """Name the new versions, and those of all other tables, in a record of the next number.
+        A record appears whole, by a rename; who comes second to a number takes the next."""
+        with self._lock:
+            while True:
+                number, versions = self._last_commit()
+                if self._write_record(f"{number + 1:012d}", {**versions, **made}):
+                    break
+            for (layer, table), version in made.items():
+                self._point(layer, table, version.folder, version.schema, version.partition_by)
+            records = self._records()
+            kept = {v.folder for r in records[-2:] for v in self._commit_of(r).values()}
+            for layer, table in made:
+                self._forget_old_versions(layer, table, made[layer, table].folder, kept)
+            for record in records[:-2]:
+                self._delete(f"{self.root}/{COMMITS}/{record}")
+
+    def _write_record(self, record: str, versions: Tables) -> bool:
+        told = {
+            ".".join(where): {"folder": v.folder, "schema": v.schema.jsonValue(), "partition_by": list(v.partition_by)}
+            for where, v in versions.items()
+        }
+        draft, final = (self._path(f"{self.root}/{COMMITS}/{n}") for n in (f".{record}-{run_id()}", record))
+        fs = final.getFileSystem(self._conf())
+        stream = fs.create(draft)
+        try:
+            stream.write(bytearray(json.dumps(told).encode()))
+        finally:
+            stream.close()
+        if not fs.exists(final) and fs.rename(draft, final):
+            return True
+        fs.delete(draft, False)
+        return False
 
     def append(self, frame: DataFrame, layer: str, table: str) -> None:
         path = f"{self.root}/{layer}/{table}"
@@ -93,12 +274,15 @@ class Lake:
         self._delete(f"{self.root}/{layer}/{table}")
 
     def attach(self) -> None:
-        """Register the latest complete version of every table, for a new session."""
+        """Point the catalog of a new session at the tables of the last commit, and at those that
+        are appended to."""
+        versions = self._last_commit()[1]
+        for (layer, table), version in versions.items():
+            self._point(layer, table, version.folder, version.schema, version.partition_by)
         for layer in LAYERS:
             for folder in self._folders(f"{self.root}/{layer}"):
-                versions = [v for v in self._folders(folder) if self._exists(f"{v}/_SUCCESS")]
-                if versions or self._exists(f"{folder}/_SUCCESS"):
-                    self._point(layer, folder.rsplit("/", 1)[1], versions[-1] if versions else folder)
+                if (layer, folder.rsplit("/", 1)[1]) not in versions and self._exists(f"{folder}/_SUCCESS"):
+                    self._point(layer, folder.rsplit("/", 1)[1], folder)
 
     def _point(
         self, layer: str, table: str, path: str, schema: StructType | None = None, partition_by: tuple[str, ...] = ()
@@ -142,27 +326,29 @@ class Lake:
         self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
         self.spark.catalog.refreshTable(name)
 
-    def _forget_old_versions(self, layer: str, table: str, current: str, keep: int = 2) -> None:
-        """Delete complete versions but the last ones, and what failed builds left before this one."""
-        older = [v for v in self._folders(f"{self.root}/{layer}/{table}") if v.rsplit("/", 1)[1] <= current.rsplit("/", 1)[1]]
-        complete = [v for v in older if self._exists(f"{v}/_SUCCESS")]
-        for old in set(older) - set(complete[-keep:]):
-            self._delete(old)
+    def _forget_old_versions(self, layer: str, table: str, current: str, kept: set[str], keep: int = 2) -> None:
+        """Delete versions but those in use and the last complete ones, and what failed builds left."""
+        home = f"{self.root}/{layer}/{table}"
+        here = current.removeprefix(home).strip("/").split("/")[0]
+        older = [v for v in self._folders(home) if v.rsplit("/", 1)[1] <= here]
+        used = {f.removeprefix(home).strip("/").split("/")[0] for f in kept if f.startswith(home + "/")}
+        used |= {v.rsplit("/", 1)[1] for v in [v for v in older if self._complete(v)][-keep:]}
+        for old in older:
+            if old.rsplit("/", 1)[1] not in used:
+                self._delete(old)
+
+    def _complete(self, version: str) -> bool:
+        records = f"{version}/{LOADED}"
+        return self._exists(f"{records if self._exists(records) else version}/_SUCCESS")
 
     def _delete(self, folder: str) -> None:
-        path = self._path(folder)
-        path.getFileSystem(self._conf()).delete(path, True)
+        delete(self.spark, folder)
 
     def _folders(self, parent: str) -> list[str]:
-        path = self._path(parent)
-        fs = path.getFileSystem(self._conf())
-        if not fs.exists(path):
-            return []
-        return sorted(s.getPath().toString() for s in fs.listStatus(path) if s.isDirectory())
+        return folders(self.spark, parent)
 
     def _exists(self, file: str) -> bool:
-        path = self._path(file)
-        return path.getFileSystem(self._conf()).exists(path)
+        return exists(self.spark, file)
 
     def _path(self, text: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path(text)

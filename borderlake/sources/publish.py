@@ -1,17 +1,26 @@
-"""Publishing silver and gold as plain Parquet with a manifest."""
+"""Publishing silver and gold as plain Parquet with a manifest.
+
+Each publication is a folder of its own under the target. Its manifest is written last, so a
+publication without one is not there for readers: they take the last that has one, and a
+publication that fails leaves the one before as it is.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from borderlake.sources.lake import Lake, side_by_side
+from borderlake.sources.lake import Lake, Snapshot, delete, exists, folders, run_id, side_by_side
 
 # Raw personal data lives in bronze and staging; those are never published.
 PUBLISHED_LAYERS = ("silver", "gold")
+MANIFEST_FILE = "tables.json"
+# Publications that stay: the current one and the one before, for readers still at it.
+KEPT = 2
 
 MANIFEST = (
     "schema string, table string, file string, rows bigint, columns array<struct<name: string, type: string>>"
@@ -28,29 +37,49 @@ def plain_types(table: DataFrame) -> DataFrame:
     )
 
 
-def publish(lake: Lake, target: str) -> DataFrame:
-    """Write every silver and gold table under ``target`` and describe them in ``tables.json``."""
+def publications(spark: SparkSession, target: str) -> list[str]:
+    """Folders of the complete publications, the current one last."""
+    return [f for f in folders(spark, target) if exists(spark, f"{f}/{MANIFEST_FILE}/_SUCCESS")]
+
+
+def published_folder(spark: SparkSession, target: str) -> str:
+    found = publications(spark, target)
+    if not found:
+        raise ValueError(f"nothing is published under {target}")
+    return found[-1]
+
+
+def publish(lake: Lake, target: str, also: Callable[[str, Snapshot], None] | None = None) -> DataFrame:
+    """Write every silver and gold table of one build under ``target`` and describe them in a
+    manifest. ``also`` may write more of that build into the publication's folder before it counts."""
+    build, folder = lake.snapshot(), f"{target.rstrip('/')}/{run_id()}"
 
     def write(layer: str, table: str) -> tuple:
-        frame = plain_types(lake.table(layer, table))
+        frame = plain_types(build.table(layer, table))
         file = f"{layer}.{table}.parquet"
         seen = Observation()
-        frame.observe(seen, F.count("*").alias("rows")).write.mode("overwrite").parquet(f"{target}/{file}")
+        frame.observe(seen, F.count("*").alias("rows")).write.parquet(f"{folder}/{file}")
         columns = [(f.name, f.dataType.simpleString()) for f in frame.schema.fields]
         return layer, table, file, seen.get["rows"], columns
 
-    entries = side_by_side(lake.spark, [partial(write, *found) for found in lake.tables(*PUBLISHED_LAYERS)])
+    entries = side_by_side(lake.spark, [partial(write, *found) for found in build.tables(*PUBLISHED_LAYERS)])
+    if also is not None:
+        also(folder, build)
     manifest = lake.spark.createDataFrame(entries, MANIFEST)
-    manifest.coalesce(1).write.mode("overwrite").json(f"{target}/tables.json")
+    manifest.coalesce(1).write.json(f"{folder}/{MANIFEST_FILE}")
+    kept = publications(lake.spark, target)[-KEPT:]
+    for old in folders(lake.spark, target):  # older ones, and what failed ones left
+        if old not in kept and old.rsplit("/", 1)[1] < folder.rsplit("/", 1)[1]:
+            delete(lake.spark, old)
     return manifest
 
 
 def open_published(spark: SparkSession, target: str) -> dict[str, DataFrame]:
-    """Read-only views ``<schema>_<table>`` over the published files and nothing else."""
-    views = {}
-    for entry in spark.read.schema(MANIFEST).json(f"{target}/tables.json").collect():
+    """Read-only views ``<schema>_<table>`` over the files of the last publication and nothing else."""
+    views, folder = {}, published_folder(spark, target)
+    for entry in spark.read.schema(MANIFEST).json(f"{folder}/{MANIFEST_FILE}").collect():
         view = f"{entry['schema']}_{entry['table']}"
-        spark.read.parquet(f"{target}/{entry['file']}").createOrReplaceTempView(view)
+        spark.read.parquet(f"{folder}/{entry['file']}").createOrReplaceTempView(view)
         views[view] = spark.table(view)
     return views
 

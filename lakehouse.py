@@ -28,7 +28,6 @@ def arguments() -> argparse.Namespace:
     build.add_argument("root")
     build.add_argument("customers")
     build.add_argument("transactions")
-    build.add_argument("--multi-line", action="store_true", help="quoted fields hold line breaks")
     publish = commands.add_parser("publish")
     publish.add_argument("root")
     publish.add_argument("target")
@@ -59,7 +58,7 @@ def main() -> None:
         publish_lake(lake, policy, given.target).show(truncate=False)
         return
     deliveries = {"customers": given.customers, "transactions": given.transactions}
-    print(run(lake, deliveries, given.governance, multi_line=given.multi_line))
+    print(run(lake, deliveries, given.governance))
 
 
 if __name__ == "__main__":
