@@ -13,6 +13,7 @@ DOMESTIC = "domestic"
 FLAGGED = "cross_border_flagged"
 BLOCKED = "blocked"
 PERMITTED = (DOMESTIC, FLAGGED)
+VERDICTS = (DOMESTIC, FLAGGED, BLOCKED)
 
 
 def load_policy(path: str | Path | Traversable) -> dict:

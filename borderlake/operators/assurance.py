@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from borderlake.functions.text import cell
 from borderlake.operators.contracts import pii_columns
 from borderlake.operators.gold import crossed
+from borderlake.operators.leaks import hidden_key, leaking_texts, said_values, with_leaks
 from borderlake.operators.set_checks import union
 from borderlake.operators.skew import sliced_join
 
@@ -15,12 +16,13 @@ from borderlake.operators.skew import sliced_join
 def record_balance(
     bronze: DataFrame, silver: DataFrame, quarantine: DataFrame, contract: dict
 ) -> DataFrame:
-    """Is every raw key in silver or in quarantine, and never in both?"""
+    """Is every raw key in silver or in quarantine, and never in both? Keys are compared as
+    digests, as quarantine has those that name a person in that form only."""
     dataset, key = contract["dataset"], contract["primary_key"]
 
     def seen(keys: DataFrame, place: str) -> DataFrame:
         flags = [F.lit(p == place).alias(p) for p in ("raw", "kept", "rejected")]
-        return keys.select("key", *flags)
+        return keys.select(hidden_key(F.col("key")).alias("key"), *flags)
 
     rejected = quarantine.filter(F.col("dataset") == dataset)
     keys = union(
@@ -100,16 +102,36 @@ def pii_leaks(silver: DataFrame, bronze: DataFrame, contract: dict) -> DataFrame
     return counts.select(F.inline(F.array(*[finding(c) for c in personal])))
 
 
-def reason_leaks(quarantine: DataFrame, contracts: dict[str, dict]) -> DataFrame:
-    """Reasons about personal columns that say more than that a rule failed."""
+def reason_leaks(
+    quarantine: DataFrame, contracts: dict[str, dict], values: DataFrame, fixed: DataFrame
+) -> DataFrame:
+    """Per column with rejections: how many reasons there are, and how many let a personal value out.
+
+    Those of personal columns must only say that a rule failed. All others, and the record
+    keys, are searched for every raw value of every personal column (``values``; ``fixed``
+    is the wording of the rules)."""
     personal = F.lit(False)
     for name, contract in contracts.items():
         personal = personal | ((F.col("dataset") == name) & F.col("column_name").isin(pii_columns(contract)))
-    fixed = F.concat("rule", F.lit(" check failed (value redacted: PII)"))
+    plain = F.concat("rule", F.lit(" check failed (value redacted: PII)"))
+    marked = with_leaks(quarantine, leaking_texts(quarantine, values, fixed))
+    wrong = (personal & (F.col("reason") != plain)) | F.col("_reason_leaks")
+    return marked.groupBy("dataset", "column_name").agg(
+        F.count("*").alias("reasons"), F.count_if(wrong).alias("leaks"), F.count_if("_key_leaks").alias("key_leaks")
+    )
+
+
+def spilled_values(reasons: DataFrame, values: DataFrame, fixed: DataFrame) -> DataFrame:
+    """Which personal column's values stand in which column's reasons: the number of reasons,
+    per rule. Meant for reasons before redaction, to see where people type what."""
+    said = said_values(reasons.select(F.col("reason").alias("text")).filter("text is not null").distinct(), values, fixed)
+    kinds = values.select("value", F.col("dataset").alias("value_dataset"), F.col("column_name").alias("value_column"))
+    named = said.join(kinds, "value").select(F.col("text").alias("reason"), "value_dataset", "value_column").distinct()
     return (
-        quarantine.filter(personal)
-        .groupBy("dataset", "column_name")
-        .agg(F.count("*").alias("reasons"), F.count_if(F.col("reason") != fixed).alias("leaks"))
+        reasons.select("dataset", "column_name", "rule", "reason")
+        .join(named, "reason")
+        .groupBy("dataset", "column_name", "rule", "value_dataset", "value_column")
+        .agg(F.count("*").alias("reasons"))
     )
 
 

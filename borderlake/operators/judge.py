@@ -10,11 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from borderlake.functions.residency import PERMITTED, classify_transfer
-from borderlake.operators.contracts import Check, checks, clean_cells, emit, normalise_keys, row_fits
+from borderlake.functions.residency import PERMITTED, VERDICTS, classify_transfer
+from borderlake.operators.contracts import Check, checks, clean_cells, emit, foreign_keys, normalise_keys, row_fits
+from borderlake.operators.leaks import personal_values, redact
 from borderlake.operators.set_checks import (
     collapse_copies,
     conflicting_keys,
@@ -164,17 +165,41 @@ def residency_blocked(judged: DataFrame, contract: dict, policy: dict) -> DataFr
     return emit(judged, contract, [residency_check(policy)])
 
 
-def quarantine(judged: dict[str, DataFrame], contracts: dict[str, dict], policy: dict) -> DataFrame:
-    """One row per reason a record was kept out, with a pointer to the raw table.
+def reasons(judged: dict[str, DataFrame], contracts: dict[str, dict], policy: dict) -> DataFrame:
+    """One row per reason a record is kept out: one narrow pass over each judged table.
 
-    One narrow pass over each judged table. No raw value of a personal column is
-    copied here.
-    """
+    Personal columns are not quoted; what was typed into other columns is."""
     cascades = {"customers": [], "transactions": [parent_check(), residency_check(policy)]}
-    reasons = union(
+    return union(
         [
             _emit(rows, contracts[name], contract_checks(rows, contracts[name]), cascades[name])
             for name, rows in judged.items()
         ]
     )
-    return reasons.withColumn("source_table", F.concat(F.lit("bronze."), F.col("dataset")))
+
+
+def wording(spark: SparkSession, contracts: dict[str, dict]) -> DataFrame:
+    """What reasons say whatever the value: those of empty cells and of a low number."""
+    cells = spark.range(1).select(F.explode(F.array(F.lit(""), F.lit("-1"))).alias("_cell"))
+    said = []
+    for contract in contracts.values():
+        names = [spec["name"] for spec in contract.get("columns") or []]
+        rows = cells.select(*[F.col("_cell").alias(n) for n in dict.fromkeys([*names, "customer_id"])])
+        compiled = [*checks(contract, names), *checks(contract, names, redact=True), unique_check(contract, F.lit(0))]
+        compiled += [reference_check(contract, column, parent, F.lit(True)) for column, parent, _ in foreign_keys(contract)]
+        fixed = [c.reason() for c in [*compiled, parent_check()]]
+        fixed += [F.lit(f"{parent.removesuffix('s')} is quarantined") for _, parent, _ in foreign_keys(contract)]
+        fixed += [F.lit(f"processing_region -> {verdict}") for verdict in VERDICTS]
+        said.append(rows.select(F.explode(F.array(*fixed)).alias("text")))
+    return union(said)
+
+
+def quarantine(judged: dict[str, DataFrame], contracts: dict[str, dict], policy: dict) -> DataFrame:
+    """One row per reason a record was kept out, with a pointer to the raw table.
+
+    No raw value of a personal column is in it, whichever column it was typed into.
+    """
+    found = reasons(judged, contracts, policy)
+    values = personal_values(judged, contracts)
+    clean = found if values is None else redact(found, values, wording(found.sparkSession, contracts))
+    return clean.withColumn("source_table", F.concat(F.lit("bronze."), F.col("dataset")))
