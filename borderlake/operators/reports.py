@@ -10,20 +10,45 @@ from pyspark.sql import functions as F
 from borderlake.functions.residency import REGION_NAMES, region_name
 from borderlake.operators.gold import TOTAL, crossed
 from borderlake.operators.set_checks import union
+from borderlake.sources.lake import stored
 
 # A subject's transfers are nested in pages of this many, so that no row and no
 # task ever holds an unbounded group. Nearly every subject has one page.
 TRANSFERS_PER_PAGE = 500
 PREVIEW_ROWS = 50
 
+# Columns of a transfer.
+TRANSFER = (
+    "transaction_id",
+    "customer_id",
+    "processing_region",
+    "residency_status",
+    "amount_zar",
+    "merchant",
+    "txn_timestamp",
+)
 SUBJECT = ("customer_id", "sa_id_number", "email", "phone", "province", "signup_date", "home_region")
 
 
+def activity(transactions: DataFrame) -> DataFrame:
+    """What reports on subjects need, from one scan: a row for each crossing, and one for each
+    customer and home route, with the number of transactions ``n``.
+
+    One aggregate does both, as its key holds the columns of a transaction where it crossed
+    and NULLs where it did not; domestic transactions shrink before the shuffle.
+    """
+    own = [c for c in TRANSFER if c not in ("customer_id", "processing_region")]
+    keys = [F.when(crossed(), F.col(c)).alias(c) for c in own]
+    return transactions.groupBy("customer_id", "home_region", "processing_region", *keys).agg(F.count("*").alias("n"))
+
+
 def crossing_counts(transactions: DataFrame) -> DataFrame:
     """Per customer with at least one crossing: domestic transactions, crossings, regions crossed to."""
-    routes = transactions.groupBy("customer_id", "home_region", "processing_region").agg(
-        F.count("*").alias("n")
-    )
+    return _crossings(transactions.withColumn("n", F.lit(1)))
+
+
+def _crossings(moves: DataFrame) -> DataFrame:
+    routes = moves.groupBy("customer_id", "home_region", "processing_region").agg(F.sum("n").alias("n"))
     return (
         routes.groupBy("customer_id")
         .agg(
@@ -35,14 +60,14 @@ def crossing_counts(transactions: DataFrame) -> DataFrame:
     )
 
 
-def _subjects(customers: DataFrame, transactions: DataFrame) -> DataFrame:
+def _subjects(customers: DataFrame, counts: DataFrame) -> DataFrame:
     people = customers.withColumn("signup_date", F.col("signup_date").cast("string")).select(*SUBJECT)
-    return people.join(crossing_counts(transactions), "customer_id")
+    return people.join(counts, "customer_id")
 
 
 def stamped_subjects(customers: DataFrame, transactions: DataFrame) -> DataFrame:
     """Customers with at least one crossing, and how often they stayed at home."""
-    return _subjects(customers, transactions).select(*SUBJECT, "domestic_txns")
+    return _subjects(customers, crossing_counts(transactions)).select(*SUBJECT, "domestic_txns")
 
 
 def transfer_rows(transactions: DataFrame) -> DataFrame:
@@ -88,8 +113,12 @@ def subject_transfers(
     Transfers are in order of time, within a page and from page to page. They are
     nested before the subject is joined, so its columns are not shuffled with
     every transfer. Readers order subjects by region_count and transfer_count,
-    the busiest first, then by id and page.
+    the busiest first, then by id and page. The transactions are scanned once.
     """
+    return _subject_pages(customers, stored(activity(transactions), "activity"), page_size)
+
+
+def _subject_pages(customers: DataFrame, moves: DataFrame, page_size: int) -> DataFrame:
     transfer = F.struct(
         "txn_timestamp",
         "transaction_id",
@@ -99,10 +128,10 @@ def subject_transfers(
         "merchant",
         "txn_date",
     )
-    pages = time_pages(transfer_rows(transactions), page_size).groupBy("customer_id", "page")
+    pages = time_pages(transfer_rows(moves), page_size).groupBy("customer_id", "page")
     nested = pages.agg(F.sort_array(F.collect_list(transfer)).alias("stamps"))
     plain = F.transform("stamps", lambda s: s.dropFields("txn_timestamp")).alias("stamps")
-    subjects = _subjects(customers, transactions)
+    subjects = _subjects(customers, _crossings(moves))
     return subjects.join(nested.select("customer_id", "page", plain), "customer_id").select(
         *SUBJECT, "domestic_txns", "region_count", "transfer_count", "page", "stamps"
     )
@@ -145,8 +174,10 @@ def view_payload(
     """Everything a page about transfers shows, as JSON: one row per subject and
     page, per personal column, and one each for totals and settings.
 
-    Safe to place inside an HTML script element.
+    Safe to place inside an HTML script element. Counts, totals and pages come from one scan
+    of the transactions.
     """
+    moves = stored(activity(transactions), "activity")
     nulls = {"ignoreNullFields": "false"}
 
     def part(name: str, frame: DataFrame) -> DataFrame:
@@ -155,7 +186,7 @@ def view_payload(
 
     totals = _totals(report).select(
         "*",
-        crossing_counts(transactions).agg(F.count("*")).scalar().alias("subjects"),
+        moves.filter(crossed()).agg(F.count_distinct("customer_id")).scalar().alias("subjects"),
         blocked_count(quarantine).scalar().alias("blocked"),
     )
     settings = {
@@ -165,7 +196,7 @@ def view_payload(
     }
     return union(
         [
-            part("subject", subject_transfers(customers, transactions, page_size)),
+            part("subject", _subject_pages(customers, moves, page_size)),
             part("totals", totals),
             part("pii", customer_pii(inventory)),
             spark.createDataFrame([("settings", json.dumps(settings))], "part string, body string"),
