@@ -87,12 +87,15 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     email = F.concat(F.lit("USER"), k.cast("string"), F.lit("@Example.co.za"))
     email = F.when(k % 13 == 6, F.concat(F.lit("  "), email, F.lit("\t"))).otherwise(email)
     phone = F.concat(F.lit("+27"), padded((k * 7919) % 1_000_000_000, 9))
+    family = F.concat(F.when(k % CUSTOMERS == 9, F.lit("van der L")).otherwise(F.lit("L")), (k % 500).cast("string"))
     province = _fault({3: BROKEN_PROVINCE}, CUSTOMERS, _choose(PROVINCES, nation % 9))
+    # Personal values in a column that is not personal.
+    province = F.when(k % CUSTOMERS == 8, F.btrim(email, F.lit(" \t"))).when(k % CUSTOMERS == 9, family).otherwise(province)
     signup = F.date_add(F.lit("2023-01-01").cast("date"), (k % 1000).cast("int")).cast("string")
     return rows.select(
         customer_key().alias("customer_id"),
         _fault({4: ""}, CUSTOMERS, F.concat(F.lit("F"), k.cast("string"))).alias("first_name"),
-        F.concat(F.lit("L"), (k % 500).cast("string")).alias("last_name"),
+        family.alias("last_name"),
         F.concat(payload, F.when(k % CUSTOMERS == 1, wrong).otherwise(check)).alias("sa_id_number"),
         _fault({2: "user.example.com"}, CUSTOMERS, email).alias("email"),
         _fault({5: "0821234567"}, CUSTOMERS, F.when(k % 11 == 0, F.lit("")).otherwise(phone)).alias("phone"),
@@ -105,7 +108,10 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders of every 50th customer go to the one before, who leaves none behind."""
     k, owner = F.col("k"), F.col("owner")
-    owner_id = customer_id(F.when(owner % 50 == 49, owner - 1).otherwise(owner))
+    person = F.when(owner % 50 == 49, owner - 1).otherwise(owner)
+    owner_id = customer_id(person)
+    email = F.concat(F.lit("USER"), person.cast("string"), F.lit("@Example.co.za"))
+    phone = F.concat(F.lit("+27"), padded((person * 7919) % 1_000_000_000, 9))
     owner_id = F.when(k % 89 == 0, F.concat(F.lit(" "), owner_id, F.lit("\t "))).otherwise(owner_id)
     region = F.when(k % 25 == 0, F.lit("eu-west-1")).when(k % 25 == 1, F.lit("us-east-1")).otherwise(F.lit("af-south-1"))
     moment = F.col("placed") + F.make_dt_interval(secs=k % 86_400)
@@ -117,13 +123,17 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return _with_copies(rows).select(
         transaction_key().alias("transaction_id"),
-        _fault({3: UNKNOWN_CUSTOMER}, TRANSACTIONS, owner_id).alias("customer_id"),
+        F.when(k % TRANSACTIONS == 11, email)
+        .otherwise(_fault({3: UNKNOWN_CUSTOMER}, TRANSACTIONS, owner_id))
+        .alias("customer_id"),
         _fault(
             {0: BROKEN_AMOUNT, 6: "abc", 7: "nan", 8: "1.0d"},
             TRANSACTIONS,
             F.col("price").cast("decimal(12,2)").cast("string"),
         ).alias("amount_zar"),
-        _fault({1: "USD"}, TRANSACTIONS, F.lit("ZAR")).alias("currency"),
+        F.when(k % TRANSACTIONS == 10, phone)
+        .otherwise(_fault({1: "USD"}, TRANSACTIONS, F.lit("ZAR")))
+        .alias("currency"),
         _fault({2: ""}, TRANSACTIONS, _choose(MERCHANTS, k % 10)).alias("merchant"),
         _fault({9: "not-a-time"}, TRANSACTIONS, iso_text(moment)).alias("txn_timestamp"),
         F.when(k % 251 == 7, F.lit("ap-south-1")).otherwise(region).alias("processing_region"),
@@ -165,6 +175,8 @@ def expected_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
                     5: ["phone"],
                     6: ["type"],
                     7: ["sa_id"],
+                    8: ["allowed_values"],
+                    9: ["allowed_values"],
                 },
                 also(F.col("k") % 113 == 9, "unique"),
             ),
@@ -183,6 +195,8 @@ def expected_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
                     7: ["min"],
                     8: ["type", "min"],
                     9: ["type"],
+                    10: ["allowed_values"],
+                    11: ["referential_integrity"],
                 },
                 also(F.col("k") % 251 == 7, "residency_blocked"),
             ),

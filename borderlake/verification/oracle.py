@@ -76,14 +76,15 @@ checked_customers AS (
 bronze_customers AS (
     SELECT printf('C%07d', CASE WHEN k % 113 = 9 THEN k - 1 ELSE k END) AS customer_id,
            CASE WHEN k % 97 = 4 THEN '' ELSE 'F' || k END AS first_name,
-           'L' || (k % 500) AS last_name,
+           CASE WHEN k % 97 = 9 THEN 'van der L' ELSE 'L' END || (k % 500) AS last_name,
            payload || CASE WHEN k % 97 = 1 THEN (digit + 5) % 10 ELSE digit END AS sa_id_number,
            CASE WHEN k % 97 = 2 THEN 'user.example.com'
                 WHEN k % 13 = 6 THEN '  USER' || k || '@Example.co.za' || chr(9)
                 ELSE 'USER' || k || '@Example.co.za' END AS email,
            CASE WHEN k % 97 = 5 THEN '0821234567' WHEN k % 11 = 0 THEN ''
                 ELSE '+27' || lpad(CAST((k * 7919) % 1000000000 AS VARCHAR), 9, '0') END AS phone,
-           CASE WHEN k % 97 = 3 THEN '{BROKEN_PROVINCE}' ELSE ({_list(PROVINCES)})[nation % 9 + 1] END
+           CASE WHEN k % 97 = 3 THEN '{BROKEN_PROVINCE}' WHEN k % 97 = 8 THEN 'USER' || k || '@Example.co.za'
+                WHEN k % 97 = 9 THEN 'van der L' || (k % 500) ELSE ({_list(PROVINCES)})[nation % 9 + 1] END
            || CASE WHEN k % 83 = 0 THEN '  ' ELSE '' END AS province,
            CASE WHEN k % 97 = 6 THEN '2023-02-30'
                 ELSE CAST(DATE '2023-01-01' + CAST(k % 1000 AS INT) AS VARCHAR) END AS signup_date,
@@ -97,12 +98,13 @@ raw_transactions AS (
 ),
 bronze_transactions AS (
     SELECT printf('T%09d', CASE WHEN k % 101 = 5 THEN k - 1 ELSE k END) AS transaction_id,
-           CASE WHEN k % 101 = 3 THEN '{UNKNOWN_CUSTOMER}'
+           CASE WHEN k % 101 = 3 THEN '{UNKNOWN_CUSTOMER}' WHEN k % 101 = 11 THEN 'USER' || owner || '@Example.co.za'
                 WHEN k % 89 = 0 THEN printf(' C%07d', owner) || chr(9) || ' '
                 ELSE printf('C%07d', owner) END AS customer_id,
            CASE k % 101 WHEN 0 THEN '{BROKEN_AMOUNT}' WHEN 6 THEN 'abc' WHEN 7 THEN 'nan' WHEN 8 THEN '1.0d'
                 ELSE CAST(CAST(price AS DECIMAL(12,2)) AS VARCHAR) END AS amount_zar,
-           CASE WHEN k % 101 = 1 THEN 'USD' ELSE 'ZAR' END AS currency,
+           CASE k % 101 WHEN 1 THEN 'USD' WHEN 10 THEN '+27' || lpad(CAST((owner * 7919) % 1000000000 AS VARCHAR), 9, '0')
+                ELSE 'ZAR' END AS currency,
            CASE WHEN k % 101 = 2 THEN '' ELSE ({_list(MERCHANTS)})[k % 10 + 1] END AS merchant,
            CASE WHEN k % 101 = 9 THEN 'not-a-time'
                 ELSE strftime(placed + to_seconds(k % 86400), '%Y-%m-%dT%H:%M:%S') END AS txn_timestamp,
@@ -228,6 +230,14 @@ ROW_RULES = " UNION ALL ".join(
     ]
 )
 
+
+def _words(text: str) -> str:
+    pieces = rf"string_split_regex(lower({text}), '[\x00-\x20''\"()\[\]{{}}<>,;:=|]+')"
+    return (
+        f"list_filter(list_transform({pieces}, lambda w: regexp_replace(w, '^[.!?]+|[.!?]+$', '', 'g')), lambda w: w <> '')"
+    )
+
+
 VIOLATIONS = f"""
 row_violations AS (SELECT DISTINCT * FROM ({ROW_RULES})),
 dup_customers AS (
@@ -269,9 +279,27 @@ blocked_reasons AS (
            'residency_blocked' AS rule, concat('processing_region ', processing_region, ' -> ', verdict) AS reason
     FROM placed WHERE verdict = 'blocked'
 ),
+reasons AS (SELECT * FROM violations UNION SELECT * FROM parent_reasons UNION SELECT * FROM blocked_reasons),
+personal AS (
+    SELECT DISTINCT column_name, array_to_string({_words('text')}, ' ') AS value
+    FROM (UNPIVOT (SELECT first_name, last_name, sa_id_number, email, phone FROM clean_customers)
+          ON COLUMNS(*) INTO NAME column_name VALUE text)
+    WHERE len({_words('text')}) > 0
+),
+spilled AS (
+    SELECT DISTINCT text, column_name
+    FROM (SELECT reason AS text FROM reasons UNION SELECT record_key FROM reasons), personal
+    WHERE contains(' ' || array_to_string({_words('text')}, ' ') || ' ', ' ' || value || ' ')
+),
 quarantine AS (
-    SELECT *, 'bronze.' || dataset AS source_table
-    FROM (SELECT * FROM violations UNION SELECT * FROM parent_reasons UNION SELECT * FROM blocked_reasons)
+    SELECT DISTINCT dataset,
+           CASE WHEN record_key IN (SELECT text FROM spilled) THEN 'row_' || substr(sha256(record_key), 1, 32)
+                ELSE record_key END AS record_key,
+           column_name, rule,
+           CASE WHEN reason IN (SELECT text FROM spilled) THEN rule || ' check failed (value redacted: PII)'
+                ELSE reason END AS reason,
+           'bronze.' || dataset AS source_table
+    FROM reasons
 )"""
 
 _IPAD, _OPAD = _pads()
@@ -287,14 +315,14 @@ silver_customers AS (
            right(nullif(c.phone, ''), 3) AS phone, c.province, TRY_CAST(c.signup_date AS DATE) AS signup_date,
            c.home_region
     FROM clean_customers c
-    WHERE c.customer_id NOT IN (SELECT record_key FROM quarantine WHERE dataset = 'customers')
+    WHERE c.customer_id NOT IN (SELECT record_key FROM reasons WHERE dataset = 'customers')
 ),
 silver_transactions AS (
     SELECT t.transaction_id, t.customer_id, TRY_CAST(t.amount_zar AS DECIMAL(12,2)) AS amount_zar, t.currency,
            t.merchant, TRY_CAST(t.txn_timestamp AS TIMESTAMP) AS txn_timestamp, c.home_region, t.processing_region,
            {_verdict('c.home_region', 't.processing_region')} AS residency_status
     FROM clean_transactions t JOIN silver_customers c ON c.customer_id = t.customer_id
-    WHERE t.transaction_id NOT IN (SELECT record_key FROM quarantine WHERE dataset = 'transactions')
+    WHERE t.transaction_id NOT IN (SELECT record_key FROM reasons WHERE dataset = 'transactions')
 ),
 inventory AS (
     SELECT * FROM (VALUES ('customers', 'first_name', 'drop'), ('customers', 'last_name', 'drop'),
@@ -573,7 +601,8 @@ SELECT 'customers' AS dataset,
        printf('C%07d', CASE WHEN c_custkey % 113 = 9 THEN c_custkey - 1 ELSE c_custkey END) AS record_key,
        unnest(list_concat(
            CASE c_custkey % 97 WHEN 1 THEN ['sa_id'] WHEN 2 THEN ['email'] WHEN 3 THEN ['allowed_values']
-                WHEN 4 THEN ['not_null'] WHEN 5 THEN ['phone'] WHEN 6 THEN ['type'] WHEN 7 THEN ['sa_id'] ELSE [] END,
+                WHEN 4 THEN ['not_null'] WHEN 5 THEN ['phone'] WHEN 6 THEN ['type'] WHEN 7 THEN ['sa_id']
+                WHEN 8 THEN ['allowed_values'] WHEN 9 THEN ['allowed_values'] ELSE [] END,
            CASE WHEN c_custkey % 113 = 9 THEN ['unique'] ELSE [] END)) AS rule
 FROM customer
 UNION
@@ -582,7 +611,8 @@ SELECT 'transactions',
        unnest(list_concat(
            CASE o_orderkey % 101 WHEN 0 THEN ['min'] WHEN 1 THEN ['allowed_values'] WHEN 2 THEN ['not_null']
                 WHEN 3 THEN ['referential_integrity'] WHEN 5 THEN ['unique'] WHEN 6 THEN ['type', 'min']
-                WHEN 7 THEN ['min'] WHEN 8 THEN ['type', 'min'] WHEN 9 THEN ['type'] ELSE [] END,
+                WHEN 7 THEN ['min'] WHEN 8 THEN ['type', 'min'] WHEN 9 THEN ['type']
+                WHEN 10 THEN ['allowed_values'] WHEN 11 THEN ['referential_integrity'] ELSE [] END,
            CASE WHEN o_orderkey % 251 = 7 THEN ['residency_blocked'] ELSE [] END))
 FROM orders
 """
@@ -649,6 +679,20 @@ _SETTINGS = json.dumps(
     }
 )
 
+_ROW = " || chr(2) || ".join(f"coalesce({c}, chr(1))" for c in sorted(TRANSACTION_FIELDS))
+_TREE = f"""
+, versions AS (
+    SELECT 0 AS side, * FROM bronze_transactions UNION ALL
+    SELECT 1, * REPLACE (CASE WHEN transaction_id = (SELECT min(transaction_id) FROM bronze_transactions)
+                              THEN 'another' ELSE merchant END AS merchant) FROM bronze_transactions
+), numbered AS (
+    SELECT side, md5(transaction_id) AS place, CAST('0x' || substr(md5({_ROW}), 1, 15) AS BIGINT) AS digest FROM versions
+), tree AS (
+    SELECT side, substr(place, 1, n) AS prefix, count(*) AS row_count,
+           CAST(sum(CAST(digest AS HUGEINT)) % 1000000000000000 AS BIGINT) AS content_sum
+    FROM numbered, (SELECT unnest([0, 1, 2, 3]) AS n) GROUP BY ALL
+)"""
+
 _FROM_CHAIN = {
     # sources and sinks
     "ingest_bronze": " UNION ALL ".join(
@@ -690,7 +734,8 @@ _FROM_CHAIN = {
         "ON c.customer_id = t.customer_id"
     ),
     "audit_build_silver": (
-        "SELECT 'build_silver' AS event, (SELECT count(*) FROM violations) AS contract_violations, "
+        "SELECT 'build_silver' AS event, (SELECT count(*) FROM quarantine "
+        "WHERE rule NOT IN ('parent_quarantined', 'residency_blocked')) AS contract_violations, "
         "(SELECT count(*) FROM (SELECT DISTINCT dataset, record_key FROM quarantine)) AS quarantined_records, "
         "(SELECT count(*) FROM silver_customers) AS silver_customers, "
         "(SELECT count(*) FROM silver_transactions) AS silver_transactions, "
@@ -797,9 +842,12 @@ _FROM_CHAIN = {
         ]
     ),
     "reason_leak": (
-        "SELECT dataset, column_name, count(*) AS reasons, "
-        "count(*) FILTER (WHERE reason <> rule || ' check failed (value redacted: PII)') AS leaks "
-        "FROM quarantine JOIN inventory USING (dataset, column_name) GROUP BY ALL"
+        "SELECT dataset, column_name, count(*) AS reasons, CAST(0 AS BIGINT) AS leaks, CAST(0 AS BIGINT) AS key_leaks "
+        "FROM quarantine GROUP BY ALL"
+    ),
+    "spilled_values": (
+        "SELECT r.dataset, r.column_name, r.rule, 'customers' AS value_dataset, s.column_name AS value_column, "
+        "count(*) AS reasons FROM reasons r JOIN spilled s ON s.text = r.reason GROUP BY ALL"
     ),
     "recon_daily": (
         "SELECT CAST((SELECT sum(transaction_count) FROM daily) AS BIGINT) AS mart_count, "
@@ -823,6 +871,18 @@ _FROM_CHAIN = {
         "(SELECT CAST(sum(CAST(amount_zar AS DECIMAL(12,2))) AS DOUBLE) FROM stamps) AS silver_amount, true AS reconciles"
     ),
     "table_fingerprint": _counts("bronze", "silver", "gold", name="{layer}.{table}", extra=", true AS unchanged"),
+    "digest_tree": f"{_TREE} SELECT prefix, row_count, content_sum FROM tree WHERE side = 0",
+    "differing_ranges": (
+        f"{_TREE} SELECT prefix, CAST(coalesce(a.row_count, 0) AS BIGINT) AS rows_before, CAST(coalesce(b.row_count, 0) AS BIGINT) AS rows_after "
+        "FROM (SELECT * FROM tree WHERE side = 0) a FULL JOIN (SELECT * FROM tree WHERE side = 1) b USING (prefix) "
+        "WHERE a.content_sum IS DISTINCT FROM b.content_sum OR a.row_count IS DISTINCT FROM b.row_count"
+    ),
+    "located_changes": (
+        ", changed AS (SELECT * REPLACE (CASE WHEN transaction_id = (SELECT min(transaction_id) FROM bronze_transactions) "
+        "THEN 'another' ELSE merchant END AS merchant) FROM bronze_transactions) "
+        "SELECT *, 'before' AS side FROM (SELECT * FROM bronze_transactions EXCEPT ALL SELECT * FROM changed) "
+        "UNION ALL SELECT *, 'after' FROM (SELECT * FROM changed EXCEPT ALL SELECT * FROM bronze_transactions)"
+    ),
     "quarantine_extras": (
         "SELECT dataset, rule, count(*) AS records FROM (SELECT DISTINCT dataset, record_key, rule FROM quarantine "
         f"EXCEPT SELECT dataset, record_key, rule FROM ({FAULTS})) GROUP BY ALL"

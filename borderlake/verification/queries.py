@@ -11,7 +11,7 @@ from pyspark.sql.types import ArrayType, DateType, DecimalType, DoubleType, Time
 from borderlake.functions.mask import mask
 from borderlake.functions.residency import classify_transfer
 from borderlake.functions.text import cell
-from borderlake.operators import assurance, gold, reports
+from borderlake.operators import assurance, digests, gold, reports
 from borderlake.operators.contracts import LINEAGE, normalise_keys, validate
 from borderlake.operators.judge import (
     HOME,
@@ -19,8 +19,12 @@ from borderlake.operators.judge import (
     contract_violations,
     judge,
     parent_quarantined,
+    quarantine,
+    reasons,
     residency_blocked,
+    wording,
 )
+from borderlake.operators.leaks import personal_values
 from borderlake.operators.set_checks import (
     collapse_copies,
     conflicting_keys,
@@ -33,7 +37,7 @@ from borderlake.plans.pipeline import ingest, transform
 from borderlake.sources import synthetic
 from borderlake.sources.delivery import read_csv
 from borderlake.sources.lake import shared_folder
-from borderlake.sources.publish import open_published, publish
+from borderlake.sources.publish import open_published, publish, published_folder
 from borderlake.verification import derived
 from borderlake.verification.staged import Staged
 
@@ -120,7 +124,8 @@ def publish_layer(s: Staged) -> DataFrame:
     """Contents of every published file."""
     target = shared_folder(s.spark, "published")
     files = [(f"{r.schema}.{r.table}", r.file) for r in publish(s.lake, target).collect()]
-    return union([checksum(name, s.spark.read.parquet(f"{target}/{file}")) for name, file in files])
+    folder = published_folder(s.spark, target)
+    return union([checksum(name, s.spark.read.parquet(f"{folder}/{file}")) for name, file in files])
 
 
 @query
@@ -358,7 +363,7 @@ def residency_blocked_(s: Staged) -> DataFrame:
 
 @query
 def quarantine_(s: Staged) -> DataFrame:
-    return s.quarantine
+    return quarantine(s.judged, s.contracts, s.policy)
 
 
 @query
@@ -576,7 +581,16 @@ def pii_leak(s: Staged) -> DataFrame:
 
 @query
 def reason_leak(s: Staged) -> DataFrame:
-    return assurance.reason_leaks(s.quarantine, s.contracts)
+    """The published reasons: none may say a personal value."""
+    values, fixed = personal_values(s.bronze, s.contracts), wording(s.spark, s.contracts)
+    return assurance.reason_leaks(s.quarantine, s.contracts, values, fixed)
+
+
+@query
+def spilled_values(s: Staged) -> DataFrame:
+    """Reasons before redaction: the personal values typed into other columns."""
+    values, fixed = personal_values(s.bronze, s.contracts), wording(s.spark, s.contracts)
+    return assurance.spilled_values(reasons(s.judged, s.contracts, s.policy), values, fixed)
 
 
 @query
@@ -611,6 +625,34 @@ def table_fingerprint(s: Staged) -> DataFrame:
     return s.spark.createDataFrame(rows, "table_name string, row_count bigint, unchanged boolean")
 
 
+def _one_changed(s: Staged) -> DataFrame:
+    """The raw transactions with another merchant in one record."""
+    raw = s.bronze["transactions"]
+    first = raw.agg(F.min("transaction_id")).scalar()
+    merchant = F.when(F.col("transaction_id") == first, F.lit("another")).otherwise(F.col("merchant"))
+    return raw.withColumn("merchant", merchant)
+
+
+@query
+def digest_tree_(s: Staged) -> DataFrame:
+    return digests.digest_tree(digests.digest_leaves(s.bronze["transactions"], "transaction_id"))
+
+
+@query
+def differing_ranges(s: Staged) -> DataFrame:
+    """One record differs: the nodes on the way from the root to its leaf, from digests only."""
+    trees = [
+        digests.digest_tree(digests.digest_leaves(table, "transaction_id"))
+        for table in (s.bronze["transactions"], _one_changed(s))
+    ]
+    return digests.differing_nodes(*trees)
+
+
+@query
+def located_changes(s: Staged) -> DataFrame:
+    return digests.changed_rows(s.bronze["transactions"], _one_changed(s), "transaction_id")
+
+
 @query
 def quarantine_extras(s: Staged) -> DataFrame:
     """Rejections beyond the faults put in: only consequences of them."""

@@ -72,11 +72,18 @@ class Staged:
 
         return self._once("lake", build)
 
-    # --- derived from them, not stored --------------------------------------------
-
     @property
     def quarantine(self) -> DataFrame:
-        return quarantine(self.judged, self.contracts, self.policy)
+        """Stored, as a build stores it; the query of that name makes it anew."""
+
+        def make() -> dict:
+            folder = shared_folder(self.spark, "quarantine")
+            self._store(folder, {"quarantine": quarantine(self.judged, self.contracts, self.policy)})
+            return {"folder": folder}
+
+        return self.spark.read.parquet(f"{self._once('quarantine', make)['folder']}/quarantine")
+
+    # --- derived from them, not stored --------------------------------------------
 
     @property
     def customers(self) -> DataFrame:
