@@ -8,10 +8,14 @@ order of their score.
 
 No piece crosses from a word into the blank before the next word, so the lattice of a
 text is a chain of the lattices of its units (blanks and the word after them, or a line
-feed). Viterbi runs once for each distinct unit, for all units of one length at a time.
+feed). Units longer than LONG are cut again wherever no piece of the model crosses, which is
+the same lattice in more links. Viterbi runs once for each distinct unit, for all units of one
+length at a time, or, for a unit that is still long, along the unit over the edges it has.
 Each unit's gap, the loss if its best path may not be taken, comes from the forward and
 the backward pass. The N best paths of a text leave the best path only in the N-1 units
-with the smallest gaps, so A-star searches these units, and then the chain of their paths.
+with the smallest gaps, so A-star searches these units, and then the chain of their paths. Entries of
+an agenda stand for different paths, each as good as its rank says, so an agenda never holds
+more entries than paths are still wanted.
 
 Code points without a piece become their UTF-8 bytes, at the lowest score of the model's
 single code points less ten. Blanks become U+2581, with one before the text; a U+2581 in
@@ -20,13 +24,14 @@ by score, which for a BPE model need not be the path its merges lead to.
 
 Defined cases: a null or empty text has no pieces, score 0 and one path, and decodes to
 the empty text. Of paths with equal scores, which comes first is fixed for a text.
-Repeated rows are encoded each. An empty table gives an empty result.
+Repeated rows are encoded each. Very long texts are encoded whole, in time and memory that
+grow with their length, with or without blanks. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import heapq
 import re
+from bisect import insort
 from collections.abc import Iterator
 from itertools import count
 from typing import NamedTuple
@@ -44,6 +49,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 N_BEST = 4
 #: Distinct units a worker remembers, and units that go through Viterbi at a time.
 HELD_UNITS, TOGETHER = 400_000, 20_000
+#: Code points above which a unit goes through Viterbi alone, and those whose edges are looked up at a time.
+LONG, WINDOW = 64, 1 << 16
 #: Bytes of text that are encoded, and documents that are decoded, at a time.
 ENCODED, DECODED = 2 << 20, 500
 BLANK, UNIT = "▁", re.compile(r" *[^ \n]+| +|\n")
@@ -117,9 +124,9 @@ def nbest(edges: list[list[tuple[int, float, object]]], n: int) -> list[tuple[fl
         best.append(max((best[start] + score for start, score, _ in into), default=-np.inf))
     turn, last = count(), len(edges) - 1
     agenda: list = [(-best[last], next(turn), last, 0.0, None)]
-    found = []
+    found: list[tuple[float, list]] = []
     while agenda and len(found) < n:
-        rank, _, node, behind, path = heapq.heappop(agenda)
+        rank, _, node, behind, path = agenda.pop(0)
         if node == 0:
             labels = []
             while path is not None:
@@ -130,7 +137,10 @@ def nbest(edges: list[list[tuple[int, float, object]]], n: int) -> list[tuple[fl
         for start, score, label in edges[node]:
             if best[start] > -np.inf:
                 total = behind + score
-                heapq.heappush(agenda, (-(best[start] + total), next(turn), start, total, (label, path)))
+                rank = -(best[start] + total)
+                if len(agenda) < n - len(found) or rank < agenda[-1][0]:
+                    insort(agenda, (rank, next(turn), start, total, (label, path)))
+                    del agenda[n - len(found) :]
     return found
 
 
@@ -202,14 +212,76 @@ def best_paths(lexicon: Lexicon, units: list[str]) -> tuple[np.ndarray, np.ndarr
     return ahead[length], ahead[length] - second, sizes, flat
 
 
+def edges_along(lexicon: Lexicon, unit: str) -> tuple[np.ndarray, ...]:
+    """(start, end, id, score) of the edges of one unit, by end and then start."""
+    points = unit_points([unit])[0]
+    found = []
+    for at in range(0, len(points), WINDOW):
+        value = np.zeros(min(WINDOW, len(points) - at), np.uint64)
+        for size in range(1, min(lexicon.longest, len(points) - at) + 1):
+            value = value[: len(points) - at - size + 1]
+            value = hash_step(value, points[at + size - 1 : at + size - 1 + len(value)])
+            ids, scores = lookup(lexicon, value)
+            if size == 1:
+                scores = np.where(ids == BYTES, lexicon.unknown, scores)
+            hit = np.flatnonzero(scores > -np.inf)
+            found.append((at + hit, at + hit + size, ids[hit], scores[hit]))
+    start, end, ids, scores = (np.concatenate(column) for column in zip(*found, strict=True))
+    order = np.lexsort((start, end))
+    return start[order], end[order], ids[order], scores[order]
+
+
+def links(lexicon: Lexicon, unit: str) -> list[str]:
+    """A unit cut wherever no piece crosses."""
+    start, end, _, _ = edges_along(lexicon, unit)
+    size = len(unit) + 1
+    crossed = np.cumsum(np.bincount(start + 1, minlength=size) - np.bincount(end, minlength=size))
+    cuts = np.flatnonzero(crossed == 0)  # the last one is the end, and the start is none
+    cuts = cuts[cuts > 0].tolist()
+    return [unit[a:b] for a, b in zip([0, *cuts[:-1]], cuts, strict=True)]
+
+
+def best_path_along(lexicon: Lexicon, unit: str) -> tuple[float, float, list[int]]:
+    """Best score, gap and ids of the best path of one unit."""
+    start, end, ids, scores = edges_along(lexicon, unit)
+    ahead, back = [-np.inf] * (len(unit) + 1), [-np.inf] * (len(unit) + 1)
+    into = [0] * (len(unit) + 1)
+    ahead[0] = back[-1] = 0.0
+    for at in range(0, len(start), WINDOW):
+        part = slice(at, at + WINDOW)
+        for n, (a, b, score) in enumerate(zip(start[part].tolist(), end[part].tolist(), scores[part].tolist(), strict=True), at):
+            if ahead[a] + score > ahead[b]:
+                ahead[b], into[b] = ahead[a] + score, n
+    backward = np.argsort(-start, kind="stable")
+    for at in range(0, len(start), WINDOW):
+        part = backward[at : at + WINDOW]
+        for a, b, score in zip(start[part].tolist(), end[part].tolist(), scores[part].tolist(), strict=True):
+            if score + back[b] > back[a]:
+                back[a] = score + back[b]
+    path, at = [], len(unit)
+    while at:
+        path.append(into[at])
+        at = int(start[into[at]])
+    path.reverse()
+    through = np.array(ahead)[start] + scores + np.array(back)[end]
+    through[path] = -np.inf
+    spelled = [i for n in path for i in _spell(lexicon, ids[n], unit[start[n]])]
+    return ahead[-1], ahead[-1] - float(through.max()), spelled
+
+
 def _spell(lexicon: Lexicon, piece: int, letter: str) -> list[int]:
     return [int(piece)] if piece != BYTES else [lexicon.byte_ids[b] for b in letter.encode()]
 
 
 def unit_nbest(lexicon: Lexicon, unit: str, n: int) -> list[tuple[float, list[int]]]:
     """The n best paths of one unit, as (score, ids)."""
+    if len(unit) > LONG:
+        edges: list = [[] for _ in range(len(unit) + 1)]
+        for start, end, piece, score in zip(*(column.tolist() for column in edges_along(lexicon, unit)), strict=True):
+            edges[end].append((start, score, _spell(lexicon, piece, unit[start])))
+        return [(score, [i for label in labels for i in label]) for score, labels in nbest(edges, n)]
     text = unit.replace(BLANK, "\uffff").replace(" ", BLANK)
-    edges: list = [[] for _ in range(len(unit) + 1)]
+    edges = [[] for _ in range(len(unit) + 1)]
     for start in range(len(text)):
         for end in range(start + 1, min(len(text), start + lexicon.longest) + 1):
             found = lexicon.pieces.get(text[start:end])
@@ -242,6 +314,11 @@ class Encoder:
         at = 0
         while at < len(new):
             length = len(new[at])
+            if length > LONG:
+                score, gap, ids = best_path_along(self.lexicon, new[at])
+                parts.append((np.array([score]), np.array([gap]), np.array([len(ids)]), np.array(ids, np.int32)))
+                at += 1
+                continue
             end = at
             while end < len(new) and len(new[end]) == length and (end - at) * length < TOGETHER * 8:
                 end += 1
@@ -251,6 +328,12 @@ class Encoder:
         self.scores, self.gaps, self.sizes, self.ids = (np.concatenate(part) for part in zip(*parts, strict=True))
         self.begins = np.cumsum(self.sizes) - self.sizes
 
+    def units(self, value: str) -> list[str]:
+        found = UNIT.findall(" " + value)
+        if max(map(len, found)) <= LONG:
+            return found
+        return [part for unit in found for part in (links(self.lexicon, unit) if len(unit) > LONG else [unit])]
+
     def alternatives(self, unit: str) -> list[tuple[float, list[int]]]:
         """The loss and ids of the best paths of a unit besides its best."""
         if unit not in self.others:
@@ -264,7 +347,7 @@ class Encoder:
 
     def encode(self, values: list[str | None]) -> list[tuple[np.ndarray, float, list[dict]]]:
         """For each text: ids of the best path, its score, and the next best paths."""
-        cut = [UNIT.findall(" " + value) if value else [] for value in values]
+        cut = [self.units(value) if value else [] for value in values]
         units = set()
         for found in cut:
             units.update(found)

@@ -5,6 +5,7 @@ import html as html_module
 import itertools
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -104,8 +105,11 @@ def applied(ids, changes):
     return ids
 
 
+@pytest.mark.parametrize("long", [sp.LONG, 2])
 @pytest.mark.parametrize("seed", range(4))
-def test_nbest_is_exact(lexicon, seed):
+def test_nbest_is_exact(lexicon, seed, long, monkeypatch):
+    monkeypatch.setattr(sp, "LONG", long)
+    monkeypatch.setattr(sp, "WINDOW", 3 if long == 2 else sp.WINDOW)
     rng = random.Random(seed)
     encoder = sp.Encoder(lexicon, 5)
     for _ in range(25):
@@ -120,6 +124,32 @@ def test_nbest_is_exact(lexicon, seed):
             assert sp.decode_ids(lexicon, np.array(path)).decode() == text
 
 
+def test_long_units_equal_the_lattice_of_whole_units(lexicon):
+    rng = random.Random(1)
+    for letters in ("aehinrst", "漢字一二三的", "ab", "="):
+        unit = "".join(rng.choice(letters) for _ in range(500))
+        (score,), (gap,), _, ids = sp.best_paths(lexicon, [unit])
+        along = sp.best_path_along(lexicon, unit)
+        assert (along[0], along[1], along[2]) == (score, gap, ids.tolist())
+        parts = sp.links(lexicon, unit)
+        assert "".join(parts) == unit
+        assert sum(sp.best_paths(lexicon, [part])[0][0] for part in parts) == score
+
+
+@pytest.mark.parametrize("letters", ["漢字一二三的是不了人", "abcdefghijklmnopqrstuvwxyz", "a", " "])
+def test_very_long_units(lexicon, letters):
+    """The model has no piece of two of these ideographs, so a text of them has one path only."""
+    rng = random.Random(2)
+    text = "".join(rng.choice(letters) for _ in range(200_000))
+    begun = time.monotonic()
+    ((ids, score, others),) = sp.Encoder(lexicon, 4).encode([text])
+    assert time.monotonic() - begun < 30
+    assert sp.decode_ids(lexicon, ids).decode() == text
+    ranks = [score, *(other["score"] for other in others)]
+    assert len(others) == (0 if letters[0] == "漢" else 3) and ranks == sorted(ranks, reverse=True)
+    assert all(sp.decode_ids(lexicon, np.array(applied(ids, other["changes"]))).decode() == text for other in others)
+
+
 def test_encoder_forgets_and_repeats(lexicon, monkeypatch):
     monkeypatch.setattr(sp, "HELD_UNITS", 3)
     encoder = sp.Encoder(lexicon, 3)
@@ -234,6 +264,14 @@ def test_blocks():
     assert blocks("") == []
 
 
+def test_names_that_only_hold_a_word_of_furniture():
+    page = (
+        "<article><h2 class='side-effects'>Side effects</h2><p id='share-prices'>Prices</p><p class='notice-period lead'>Period</p>"
+        "<div class='share-buttons'>no</div><div class='lead ad'>no</div><div id='related_links'>no</div><p class='menu-'>no</p></article>"
+    )
+    assert article_text(blocks(page)).split("\n") == ["Side effects", "Prices", "Period"]
+
+
 def test_pages_without_article_keep_unique_runs(stored_table):
     menu = "Home News Sports Weather Contact About Imprint Privacy Terms Help"
     rows = [(i, f"http://a.example.com/{i}", f"<body><div>{menu}</div><p>Unique{i} words{i} of{i} this{i} page{i}</p><div>{menu} again</div>") for i in range(4)]
