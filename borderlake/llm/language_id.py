@@ -8,11 +8,14 @@ products: presence of n-grams times landmarks, kernel values times weights.
 
 A symbol is a lower-case letter, or one blank for each run of anything else. a to z have
 symbols of their own and other letters share 100 by their code point, so that an n-gram
-fits 21 bits for any script. N-grams are those found in landmarks, MAX_GRAMS at most.
+fits 21 bits for any script. N-grams are those found in landmarks, the most frequent first,
+GRAMS_KEPT of them and GRAMS_EACH more for each language.
 
 The model is fitted on a bounded sample of labelled rows: SAMPLE in equal parts of the
-languages, LANDMARKS of them as landmarks, the MAX_LANGUAGES most frequent languages at
-most. Rows are drawn by a hash of their id, so the sample is the same in every run.
+languages, but ROWS_EACH of every language at least. LANDMARKS of them are landmarks, but
+LANDMARKS_EACH of every language at least. So every language is learned however many there
+are, and the model grows with their number, not with the rows. Rows are drawn by a hash of
+their id, so the sample is the same in every run.
 
 Scores compare the learned languages with each other, so that a text in none of them has
 a best one as well. ``keep_language`` therefore asks how many of a text's distinct trigrams
@@ -41,8 +44,9 @@ from pyspark.sql import functions as F
 
 from .common import ROW, arrow_map, keep_rows, numbered
 
-#: Bounds of the fitted sample and of the model.
-SAMPLE, LANDMARKS, MAX_LANGUAGES, MAX_GRAMS = 2000, 128, 200, 1 << 15
+#: Bounds of the fitted sample and of the model, and what every language has of them.
+SAMPLE, LANDMARKS, GRAMS_KEPT = 2000, 128, 1 << 15
+ROWS_EACH, LANDMARKS_EACH, GRAMS_EACH = 16, 2, 64
 RIDGE = 1e-2
 #: Texts that are scored by one matrix product.
 BLOCK = 256
@@ -110,20 +114,19 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def sample(docs: DataFrame, rows: int) -> list[tuple[str, np.ndarray]]:
-    """(language, distinct grams) of about ``rows`` labelled texts, in order of a hash of the id."""
+    """(language, distinct grams) of about ``rows`` labelled texts, or ROWS_EACH of every language
+    if that is more, in order of a hash of the id."""
     labelled = docs.select("doc_id", "text", "lang").filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()
     )
-    counts = labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
+    counts = labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()
     if not counts:
         return []
-    each = max(1, rows // len(counts))
-    share = F.lit(0.0)
-    for row in counts:
-        share = F.when(F.col("lang") == row["lang"], F.lit(min(1.0, each / row["n"]))).otherwise(share)
+    each = max(ROWS_EACH, rows // len(counts))
+    shares = F.create_map(*[F.lit(x) for row in counts for x in (row["lang"], min(1.0, each / row["n"]))])
     chance = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30)) / (1 << 30)
-    drawn = labelled.withColumn("chance", chance).filter(F.col("chance") < share)
-    drawn = drawn.orderBy("chance", "doc_id", "text").limit(2 * rows)
+    drawn = labelled.withColumn("chance", chance).filter(F.col("chance") < shares[F.col("lang")])
+    drawn = drawn.orderBy("chance", "doc_id", "text").limit(2 * each * len(counts))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [np.unique(grams([text])[1]).astype(np.int32).tobytes() for text in batch.column("text").to_pylist()]
@@ -139,9 +142,9 @@ def fit(drawn: list[tuple[str, np.ndarray]], landmarks: int = LANDMARKS) -> Mode
         return Model([], np.zeros(GRAMS, np.int32), np.zeros((0, 0), np.float32), np.zeros((0, 0)), np.zeros(0))
     by_lang = [[g for lang, g in drawn if lang == language] for language in languages]
     turns = [texts[i] for i in range(max(map(len, by_lang))) for texts in by_lang if i < len(texts)]
-    chosen = turns[:landmarks]
+    chosen = turns[: max(landmarks, LANDMARKS_EACH * len(languages))]
     held = np.bincount(np.concatenate(chosen), minlength=GRAMS)
-    kept = np.sort(np.argsort(-held, kind="stable")[: min(MAX_GRAMS, int((held > 0).sum()))])
+    kept = np.sort(np.argsort(-held, kind="stable")[: min(GRAMS_KEPT + GRAMS_EACH * len(languages), int((held > 0).sum()))])
     columns = np.full(GRAMS, len(kept), np.int32)
     columns[kept] = np.arange(len(kept))
 

@@ -1,6 +1,7 @@
 """Language ID and LM scoring: accuracy on held-out rows, brute force, awkward rows."""
 
 import math
+import random
 from collections import Counter
 
 import numpy as np
@@ -22,6 +23,20 @@ def test_language_id_on_held_out_rows(spark):
     assert found.filter("score < 0 or score > 1").isEmpty()
 
 
+@pytest.mark.parametrize("languages", [160, 300])
+def test_language_id_learns_every_language(languages, stored_table):
+    """Invented languages of 30 words each: each is predicted, however many there are."""
+    rng = random.Random(languages)
+    words = [["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(4, 8))) for _ in range(30)] for _ in range(languages)]
+    rows = [(i, " ".join(rng.choices(words[i % languages], k=25)), f"l{i % languages:03}") for i in range(languages * 24)]
+    docs = stored_table(rows, "doc_id long, text string, lang string")
+    found = language_id(docs).join(docs.select("doc_id", "lang"), "doc_id").filter("held_out")
+    right = {r["lang"]: r["right"] for r in found.groupBy("lang").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("double")).alias("right")).collect()}
+    assert len(right) > 0.95 * languages
+    assert sum(right.values()) / len(right) >= 0.95
+    assert min(right.values()) > 0
+
+
 def test_language_id_does_not_see_the_label(spark, small):
     """Labels of held-out rows, and sources, change nothing."""
     from borderlake.llm.language_id import held_out
