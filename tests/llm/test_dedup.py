@@ -199,8 +199,8 @@ def test_suffix_dedup(table, request):
 
 
 def test_suffix_dedup_of_frequent_samples_and_pieces(stored_table, monkeypatch):
-    """Over LOCAL different contexts of one passage, and texts longer than a piece."""
-    rows = [(i, f"{i * 7919 % 1000} own words {i}{PASSAGE}{i * 31 % 977} own end {i}") for i in range(3 * suffix_module.LOCAL)]
+    """Many different contexts of one passage, and texts longer than a piece."""
+    rows = [(i, f"{i * 7919 % 1000} own words {i}{PASSAGE}{i * 31 % 977} own end {i}") for i in range(192)]
     rows += [(1000, LONG * 2), (1001, "before " + LONG), (1002, LONG[40_000:700_000] + "after")]
     docs = stored_table(rows, "doc_id long, text string")
     found = suffix_dedup(docs).collect()
@@ -208,7 +208,7 @@ def test_suffix_dedup_of_frequent_samples_and_pieces(stored_table, monkeypatch):
     assert counted == suffix_expected(rows)
 
 
-@pytest.mark.parametrize("contexts", [1, 2 * suffix_module.LOCAL])
+@pytest.mark.parametrize("contexts", [1, 128])
 def test_suffix_dedup_of_runs_repeated_in_their_smallest_document(stored_table, contexts):
     """Each of several equal runs, also in rows of one id, loses what smaller documents have."""
     rows = [(n, f"{n * 7919 % 1000} alpha start {n}{PASSAGE}{n * 31 % 977} other tail") for n in range(contexts)]
@@ -218,6 +218,17 @@ def test_suffix_dedup_of_runs_repeated_in_their_smallest_document(stored_table,
     assert counted == suffix_expected(rows)
 
 
+def test_suffix_dedup_finds_as_many_spans_a_document_for_any_number_of_contexts(stored_table, monkeypatch):
+    """One passage in n surroundings gives about two spans a document, however many there are."""
+    tables, store, shares = {}, suffix_module.stored, []
+    monkeypatch.setattr(suffix_module, "stored", lambda df, label: tables.setdefault((len(shares), label), store(df, label)))
+    for n in (60, 100, 800):
+        rows = [(i, f"{i * 7919 % 1000} own words {i}{PASSAGE}{i * 31 % 977} own end {i}") for i in range(n)]
+        assert suffix_dedup(stored_table(rows, "doc_id long, text string")).count() == n
+        shares.append(tables[len(shares), "open-spans"].count() / n)
+    assert max(shares) < 3
+
+
 def test_suffix_dedup_of_repeated_lines_in_larger_tables(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     found = suffix_dedup(docs).collect()
