@@ -13,9 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from borderlake.operators.contracts import Check, checks, emit, foreign_keys
-from borderlake.operators.judge import FITS, VERSIONS, Keep, distinct_rows, mark_conflicts, no_keep, wording
+from borderlake.operators.judge import FITS, VERSIONS, Keep, marked_rows, no_keep, wording
 from borderlake.operators.leaks import personal_values, redact
-from borderlake.operators.set_checks import conflicting_keys, reference_check, union, unique_check
+from borderlake.operators.set_checks import reference_check, union, unique_check
 from borderlake.operators.skew import count_keys, sliced_join
 
 
@@ -139,9 +139,7 @@ def judge_graph(tables: dict[str, DataFrame], contracts: dict[str, dict], keep:
 
     ``keep`` stores the frames of a step, as in ``judge``. It must store them where contracts
     refer to each other in a circle and much is rejected, as rounds build on each other."""
-    rows = _kept(keep, {name: distinct_rows(tables[name], c) for name, c in contracts.items()}, "rows")
-    conflicts = _kept(keep, {name: conflicting_keys(rows[name], c["primary_key"]) for name, c in contracts.items()}, "conflicts")
-    marked = {name: mark_conflicts(rows[name], conflicts[name], c["primary_key"]) for name, c in contracts.items()}
+    marked = marked_rows({name: tables[name] for name in contracts}, contracts, keep)
     judged: dict[str, DataFrame] = {}
 
     def parents_joined(name: str, group: list[str]) -> DataFrame:
