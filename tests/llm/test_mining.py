@@ -235,3 +235,17 @@ def test_double_array_counts_every_phrase():
     plain = Counter(tuple(text[i : i + k]) for k in (2, 3, 4) for i in range(len(text) - k + 1) if 0 not in text[i : i + k])
     assert totals.tolist() == [plain[tuple(int(h) for h in p if h)] for p in phrases]
     assert totals.sum() > 0
+
+
+def test_candidates_do_not_grow_with_the_phrases_of_a_bin(stored_table, monkeypatch):
+    """However many rare phrases there are for a bin, only frequent ones are counted in tries."""
+    rng = np.random.default_rng(7)
+    rows = [(" ".join(f"w{w}" for w in rng.integers(0, 60, 40)), "en") for _ in range(200)] + [("w1 w2 w3", "en")] * 40
+    sizes = []
+    plain = mining.DoubleArray.__init__
+    monkeypatch.setattr(mining.DoubleArray, "__init__", lambda self, phrases: (sizes.append(len(phrases)), plain(self, phrases))[1])
+    found = mining.collocations(stored_table(rows, "text string, lang string"), least=20, shard=4, bins_log=6)
+    assert found_phrases(found) == plain_collocations(rows, 20)
+    pairs_of = Counter(p for text, _ in rows for words in [text.split()] for k in (2, 3, 4) for p in (tuple(words[i : i + k]) for i in range(len(words) - k + 1)))
+    frequent = sum(a >= 20 for a in pairs_of.values())
+    assert len(pairs_of) > 1000 and frequent <= sum(sizes) <= frequent + 2 and max(sizes) <= 6
