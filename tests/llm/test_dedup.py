@@ -4,6 +4,7 @@ import hashlib
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 import xxhash
 from awkward import LONG, PASSAGE, pairs
@@ -234,3 +235,36 @@ def test_suffix_dedup_of_repeated_lines_in_larger_tables(spark):
     found = suffix_dedup(docs).collect()
     counted = Counter((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], sha(bytes(r["kept"]))) for r in found)
     assert counted == suffix_expected(pairs(docs))
+
+
+def test_suffix_dedup_joins_equal_runs_once(stored_table, monkeypatch):
+    """Runs equal to one before them, in a later document or the same, are found once and stored; both uses read that."""
+    passage = f"{PASSAGE} {PASSAGE[::-1]} {PASSAGE.upper()}"
+    rows = [(i, f"{'abcdefghijkl'[i] * 60}{passage}{'ABCDEFGHIJKL'[i] * 60}{passage}{i}") for i in range(12)]
+    tables, store = {}, suffix_module.stored
+    monkeypatch.setattr(suffix_module, "stored", lambda df, label: tables.setdefault(label, store(df, label)))
+    found = suffix_dedup(stored_table(rows, "doc_id long, text string")).collect()
+    assert Counter((r["doc_id"], bytes(r["kept"])) for r in found) == Counter((i, kept) for i, kept in expected_kept(rows))
+    runs = tables["equal-runs"]
+    assert {"later", "of_row", "of_first"} <= set(runs.columns) and runs.count() == runs.distinct().count() > 0
+    assert "run-twins" not in tables
+
+
+def expected_kept(rows, k=50):
+    first = {}
+    for i, text in rows:
+        data = text.encode()
+        for at in range(len(data) - k + 1):
+            first[data[at : at + k]] = min(first.get(data[at : at + k], i), i)
+    for i, text in rows:
+        data = text.encode()
+        gone = {at + j for at in range(len(data) - k + 1) if first[data[at : at + k]] < i for j in range(k)}
+        yield i, bytes(byte for at, byte in enumerate(data) if at not in gone)
+
+
+def test_wanted_samples():
+    rng = np.random.default_rng(3)
+    values = rng.integers(0, 2**64, 5000, dtype=np.uint64)
+    some = np.append(values[::7], values[::14])
+    places = suffix_module.Wanted(some.view(np.int64)).places(values)
+    assert places.tolist() == list(range(0, 5000, 7))
